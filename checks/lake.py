@@ -6,8 +6,6 @@ cleaning rules and reject reasons occur; the SQL states the clean values directl
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,19 +77,19 @@ def squads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@cache
-def _lake_of(application: str, sf_dir: str) -> Lake:
-    spark = SparkSession.active()
-    lake = Lake(scratch(spark, "lake"))
-    sources.write_bronze(squads(spark, sf_dir), lake.bronze)
-    run_silver(spark, lake)
-    run_gold(spark, lake)
-    return lake
+_BUILT: dict[tuple[str, str], Lake] = {}
 
 
 def built_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """The lake over these tables, built once per application."""
-    return _lake_of(spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        lake = Lake(scratch(spark, "lake"))
+        sources.write_bronze(squads(spark, sf_dir), lake.bronze)
+        run_silver(spark, lake)
+        run_gold(spark, lake)
+        _BUILT[key] = lake
+    return _BUILT[key]
 
 
 # A team name ends before the first "_<digit>", so NATION_7 becomes NATION7.

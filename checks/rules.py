@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,13 @@ def by_remainder(key: str, cases: list[Column | str | None]) -> Column:
     return F.coalesce(*[F.when(remainder == i, value) for i, value in enumerate(values)])
 
 
+def cleaned(
+    df: DataFrame, key: str, text: Column, clean: Callable[[str], Column], alias: str
+) -> DataFrame:
+    """A rule applied to a text column, as it is to a stored one."""
+    return df.select(key, text.alias("text")).select(key, clean("text").alias(alias))
+
+
 def amount_text(key: str, price: str) -> Column:
     """A price as ``€112k``, ``€1.12m`` and so on, or as text that holds no amount."""
     units = F.floor(price).cast("bigint")
@@ -51,8 +60,8 @@ def amount_sql(key: str, price: str) -> str:
 )
 def parse_market_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = amount_text("o_orderkey", "o_totalprice")
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", rule.parse_market_value(text).alias("amount")
+    return cleaned(
+        table(spark, sf_dir, "orders"), "o_orderkey", text, rule.parse_market_value, "amount"
     )
 
 
@@ -75,7 +84,9 @@ def parse_height(spark: SparkSession, sf_dir: str) -> DataFrame:
             None,
         ],
     )
-    return table(spark, sf_dir, "part").select("p_partkey", rule.parse_height(text).alias("height"))
+    return cleaned(
+        table(spark, sf_dir, "part"), "p_partkey", text, rule.parse_height, "height"
+    )
 
 
 @check(
@@ -89,7 +100,9 @@ def parse_age(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey",
         [size, F.concat(F.lit(" "), size, F.lit(" ")), "", "n/a", F.concat(size, F.lit(".5")), None],
     )
-    return table(spark, sf_dir, "part").select("p_partkey", rule.parse_age(text).alias("age"))
+    return cleaned(
+        table(spark, sf_dir, "part"), "p_partkey", text, rule.parse_age, "age"
+    )
 
 
 @check(
@@ -136,7 +149,9 @@ def clean_club_name(spark: SparkSession, sf_dir: str) -> DataFrame:
             name,
         ],
     )
-    return table(spark, sf_dir, "part").select("p_partkey", rule.clean_club_name(text).alias("club"))
+    return cleaned(
+        table(spark, sf_dir, "part"), "p_partkey", text, rule.clean_club_name, "club"
+    )
 
 
 @check(
@@ -147,8 +162,8 @@ from customer
 )
 def fill_signed_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = by_remainder("c_custkey", [F.col("c_name"), "", None, " "])
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", rule.fill_signed_from(text).alias("origin")
+    return cleaned(
+        table(spark, sf_dir, "customer"), "c_custkey", text, rule.fill_signed_from, "origin"
     )
 
 
@@ -171,8 +186,8 @@ def clean_status(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("team captain, "), F.col("o_orderstatus")),
         ],
     )
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", rule.clean_status(text).alias("status")
+    return cleaned(
+        table(spark, sf_dir, "orders"), "o_orderkey", text, rule.clean_status, "status"
     )
 
 
@@ -185,8 +200,8 @@ from orders
 )
 def default_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority"))
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", rule.default_status(text).alias("status")
+    return cleaned(
+        table(spark, sf_dir, "orders"), "o_orderkey", text, rule.default_status, "status"
     )
 
 
@@ -199,8 +214,8 @@ from documents
 )
 def capitalize_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.col("text"))
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", rule.capitalize_first(text).alias("text")
+    return cleaned(
+        table(spark, sf_dir, "documents"), "doc_id", text, rule.capitalize_first, "text"
     )
 
 
@@ -234,10 +249,11 @@ from (select n_nationkey, {club_sql('n_name', 'n_nationkey')} as club from natio
 )
 def normalize_team_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     club = club_name(F.col("n_name"), "n_nationkey")
-    return table(spark, sf_dir, "nation").select(
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", club.alias("club"))
+    return nations.select(
         "n_nationkey",
-        rule.normalize_team_name(club).alias("team"),
-        rule.normalize_team_name(club, mode="substring").alias("short_team"),
+        rule.normalize_team_name("club").alias("team"),
+        rule.normalize_team_name("club", mode="substring").alias("short_team"),
     )
 
 
@@ -252,10 +268,14 @@ def path_to_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.year("o_orderdate").cast("string")
     file = F.concat_ws("_", F.concat(F.lit("Club%20&%20"), F.col("o_orderpriority")), "o_orderkey", year)
     path = rule.decode_path(F.concat(F.lit("s3a://b/DATA_1/Season_"), year, F.lit("/"), file, F.lit(".json")))
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        rule.team_from_file_name(rule.file_name_of(path)).alias("team"),
-        rule.season_from_path(path).alias("season"),
+    return (
+        table(spark, sf_dir, "orders")
+        .select("o_orderkey", path.alias("path"))
+        .select(
+            "o_orderkey",
+            rule.team_from_file_name(rule.file_name_of("path")).alias("team"),
+            rule.season_from_path("path").alias("season"),
+        )
     )
 
 

@@ -21,7 +21,8 @@ def as_column(value: str | Column) -> Column:
 
 def blank_to_null(text: str | Column) -> Column:
     """NULL for the empty string, the text itself otherwise."""
-    return F.nullif(as_column(text), F.lit(""))
+    text = as_column(text)
+    return F.when(text != "", text)
 
 
 def strip(text: str | Column) -> Column:
@@ -35,7 +36,8 @@ def parse_market_value(amount: str | Column) -> Column:
     The arithmetic is decimal, so ``€2.01m`` is 2,010,000 and not one less.
     Missing text is 0; text that is no amount (``-``, ``€1.20bn``) is NULL.
     """
-    text = F.lower(F.coalesce(blank_to_null(amount), F.lit("0")))
+    amount = as_column(amount)
+    text = F.lower(amount)
     unit = (
         F.when(text.contains(fixed.THOUSAND_MARK), 1_000)
         .when(text.contains(fixed.MILLION_MARK), 1_000_000)
@@ -43,7 +45,7 @@ def parse_market_value(amount: str | Column) -> Column:
     )
     marks = fixed.CURRENCY_SIGN + fixed.THOUSAND_MARK + fixed.MILLION_MARK
     number = strip(F.translate(text, marks, "")).try_cast("decimal(20,6)")
-    return (number * unit).try_cast("bigint")
+    return F.when(amount != "", (number * unit).try_cast("bigint")).otherwise(F.lit(0))
 
 
 def parse_height(height: str | Column) -> Column:

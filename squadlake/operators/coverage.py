@@ -41,37 +41,46 @@ def coverage_gaps(df: DataFrame, entity: str = "team", period: str = "season") -
     an equality join with the periods in use drops years nobody played. The two
     bounds are the only thing every task needs, so there is no product of
     entities and periods to join against and nothing sized by the data to ship.
+    Bounds and periods come from the same per-entity lists as the gaps, so the
+    table is scanned and shuffled once.
     """
-    pairs = present_pairs(df, entity, period)
-    first = pairs.agg(F.min(period)).scalar()
-    last = pairs.agg(F.max(period)).scalar()
-    absent = seasons_by_team(df, entity, period, "__present").select(
-        entity,
-        F.explode(F.array_except(F.sequence(first, last), "__present")).alias(period),
+    present = seasons_by_team(df, entity, period, "__present")
+    first = present.agg(F.min(F.array_min("__present"))).scalar()
+    last = present.agg(F.max(F.array_max("__present"))).scalar()
+    in_use = present.select(F.explode("__present").alias(period)).distinct()
+    absent = F.array_except(F.sequence(first, last), "__present")
+    return (
+        present.select(entity, F.explode(absent).alias(period))
+        .join(in_use, period, "left_semi")
+        .select(entity, period)
     )
-    return absent.join(list_seasons(pairs, period), period, "left_semi").select(entity, period)
 
 
 def coverage_report(
     df: DataFrame, entity: str = "team", period: str = "season", file: str = "source_file"
 ) -> DataFrame:
-    """Per entity: files, periods present and periods missing."""
-    files = df.groupBy(entity, file).agg(F.lit(1).alias("__file"))
-    file_counts = files.groupBy(entity).agg(F.count(F.lit(1)).alias("files"))
-    present = seasons_by_team(df, entity, period, f"{period}s_present")
+    """Per entity: files, periods present and periods missing.
+
+    A file belongs to one period. Rows shrink to files, to pairs and to entities,
+    each step reducing before its shuffle.
+    """
+    none = F.array().cast("array<int>")
+    present = (
+        df.select(entity, period, file)
+        .distinct()
+        .groupBy(entity, period)
+        .agg(F.count(file).alias("__files"))
+        .groupBy(entity)
+        .agg(
+            F.sum("__files").alias("files"),
+            F.sort_array(F.collect_list(period)).alias(f"{period}s_present"),
+        )
+    )
     missing = (
         coverage_gaps(df, entity, period)
         .groupBy(entity)
         .agg(F.sort_array(F.collect_list(period)).alias(f"{period}s_missing"))
     )
-    none = F.array().cast("array<int>")
-    return (
-        file_counts.join(present, entity, "left")
-        .join(missing, entity, "left")
-        .withColumns(
-            {
-                f"{period}s_present": F.coalesce(f"{period}s_present", none),
-                f"{period}s_missing": F.coalesce(f"{period}s_missing", none),
-            }
-        )
+    return present.join(missing, entity, "left").withColumn(
+        f"{period}s_missing", F.coalesce(f"{period}s_missing", none)
     )

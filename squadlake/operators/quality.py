@@ -38,16 +38,19 @@ def quality_report(
     file: str | None = None,
     array: str | None = None,
 ) -> DataFrame:
-    """Rows in, out and rejected for every key; for documents also extra files and empty arrays.
+    """Rows in, out and rejected for every key; for documents also extra files and
+    documents that are valid but hold nothing.
 
     ``file`` is counted distinct through a first aggregate on (keys, file), so a
     key with very many files is spread over tasks.
     """
+    rejected = reject_reason(rules).isNotNull()
+    filled = F.coalesce(F.size(array) > 0, F.lit(False)) if array else F.lit(True)
     marked = df.select(
         *keys,
         (F.col(file) if file else F.lit(None).cast("string")).alias("__file"),
-        reject_reason(rules).isNotNull().alias("__rejected"),
-        (F.coalesce(F.size(array) <= 0, F.lit(True)) if array else F.lit(False)).alias("__empty"),
+        rejected.alias("__rejected"),
+        (~rejected & ~filled).alias("__empty"),
     )
     per_file = marked.groupBy(*keys, "__file").agg(
         F.count(F.lit(1)).alias("__rows"),
