@@ -22,6 +22,11 @@ PARTITION_BY = ("season",)
 CLUSTER_BY = ("team",)
 CODEC = "snappy"
 
+# Shuffle partitions of a rebalanced write. Seasons that share one are split together,
+# and a small season then leaves a scrap in every split of a hot one. A few dozen
+# seasons rarely meet in this many; the empty ones cost next to nothing.
+REBALANCE_PARTITIONS = 1024
+
 
 def _location(path: str) -> list[str]:
     """Path parts without the scheme of a local file, for comparing locations."""
@@ -50,7 +55,7 @@ def output_file_policy(
     when the input already lies by partition; then nothing is shuffled at all.
     """
     if rebalance and partition_by:
-        df = df.hint("rebalance", *partition_by)
+        df = df.hint("rebalance", REBALANCE_PARTITIONS, *partition_by)
     order = [*partition_by, *cluster_by]
     return df.sortWithinPartitions(*order) if order else df
 

@@ -1,0 +1,173 @@
+"""Operators on small frames: edges, errors and properties."""
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from squadlake import operators as ops
+
+SMALL = settings(
+    max_examples=12,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+    database=None,
+)
+GROUPED = st.lists(
+    st.tuples(st.sampled_from("abc"), st.one_of(st.none(), st.integers(0, 5))), max_size=40
+)
+
+
+def frame(spark, rows):
+    numbered = [(g, v, i) for i, (g, v) in enumerate(rows)]
+    return spark.createDataFrame(numbered, "g string, v int, id int")
+
+
+def expected_top(rows, k):
+    best = {}
+    for i, (g, v) in enumerate(rows):
+        best.setdefault(g, []).append((v is None, -(v or 0), i))
+    return {
+        (g, key[2], rank)
+        for g, keys in best.items()
+        for rank, key in enumerate(sorted(keys)[:k], start=1)
+    }
+
+
+@SMALL
+@given(rows=GROUPED, k=st.integers(1, 4), salts=st.sampled_from([1, 3]))
+def test_top_n_per_group_matches_sorting(spark, rows, k, salts):
+    top = ops.top_n_per_group(frame(spark, rows), ["g"], "v", k, ["id"], salts=salts)
+    got = [(r.g, r.id, r["rank"]) for r in top.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected_top(rows, k)
+    assert top.columns == ["g", "v", "id", "rank"]
+
+
+@SMALL
+@given(rows=GROUPED, k=st.integers(1, 6))
+def test_top_n_overall_matches_sorting(spark, rows, k):
+    top = ops.top_n_overall(frame(spark, rows), "v", k, ["id"])
+    got = sorted((r["rank"], r.id) for r in top.collect())
+    everyone = expected_top([("all", v) for _, v in rows], k)
+    assert got == sorted((rank, i) for _, i, rank in everyone)
+
+
+def test_ranking_needs_a_tie_break(spark):
+    df = frame(spark, [("a", 1)])
+    with pytest.raises(ValueError, match="tie_break"):
+        ops.top_n_per_group(df, ["g"], "v", 1, [])
+    with pytest.raises(ValueError, match="tie_break"):
+        ops.top_n_overall(df, "v", 1, [])
+
+
+@SMALL
+@given(pairs=st.lists(st.tuples(st.sampled_from("abcd"), st.integers(2000, 2006)), max_size=20))
+def test_gaps_and_present_pairs_make_up_the_calendar(spark, pairs):
+    df = spark.createDataFrame(pairs, "team string, season int")
+    gaps = [tuple(row) for row in ops.coverage_gaps(df).collect()]
+    teams, seasons = {t for t, _ in pairs}, {s for _, s in pairs}
+    assert len(gaps) == len(set(gaps))
+    assert set(gaps) == {(t, s) for t in teams for s in seasons} - set(pairs)
+
+
+def test_gaps_ignore_unused_years_and_missing_seasons(spark):
+    rows = [("a", 1999), ("a", 2020), ("b", 2020), ("c", None)]
+    df = spark.createDataFrame(rows, "team string, season int")
+    assert [tuple(row) for row in ops.coverage_gaps(df).collect()] == [("b", 1999)]
+
+
+@SMALL
+@given(rows=GROUPED)
+def test_band_counts_add_up(spark, rows):
+    bands = (("0-1", 0, 1), ("2-3", 2, 3))
+    df = frame(spark, rows)
+    profile = ops.profile_by_band(df, ["g"], "v", "id", bands, "rest")
+    assert (profile.agg(F.sum("player_count")).first()[0] or 0) == len(rows)
+
+
+@SMALL
+@given(rows=GROUPED)
+def test_subtotals_give_the_same_profile_as_rows(spark, rows):
+    df = frame(spark, rows).where("v is not null")
+    parts = df.groupBy("g", (F.col("id") % 3).alias("part")).agg(
+        F.sum("v").alias("total"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("v") > 2).alias("high"),
+        F.min("v").alias("low"),
+        F.max("v").alias("top"),
+    )
+
+    def same(left, right):
+        assert sorted(map(tuple, left.collect())) == sorted(map(tuple, right.collect()))
+
+    by_rows, by_parts = dict(rows=None), dict(rows="n")
+    same(
+        ops.profile_by_category(df, ["g"], "v", **by_rows),
+        ops.profile_by_category(parts, ["g"], "total", **by_parts),
+    )
+    same(
+        ops.conditional_rate(df, ["g"], F.col("v") > 2),
+        ops.conditional_rate(parts, ["g"], hits="high", rows="n"),
+    )
+    same(
+        ops.stats_by_group(df, ["g"], "v"),
+        ops.stats_by_group(parts, ["g"], "total", rows="n", lowest="low", highest="top"),
+    )
+    same(
+        ops.total_by_group(df, ["g"], "v"),
+        ops.total_by_group(parts, ["g"], "total", rows="n"),
+    )
+
+
+def test_conditional_rate_takes_one_kind_of_hit(spark):
+    with pytest.raises(ValueError, match="either"):
+        ops.conditional_rate(frame(spark, []), ["g"])
+
+
+def test_growth_after_a_gap_and_from_zero(spark):
+    rows = [("a", 2010, 0, 2), ("a", 2011, 10, 2), ("a", 2014, 15, 0)]
+    totals = spark.createDataFrame(rows, "team string, season int, total_value long, squad_size long")
+    got = ops.yoy_growth(totals, "team", "season").orderBy("season")
+    columns = ("previous_value", "season_gap", "yoy_growth", "avg_player_value")
+    assert [tuple(row) for row in got.select(*columns).collect()] == [
+        (None, None, None, 0.0), (0, 1, None, 5.0), (10, 3, 50.0, None),
+    ]
+    first_last = ops.first_last_by_order(totals, "team", "season").first()
+    assert tuple(first_last) == ("a", 2010, 2014, 0, 15, None)
+
+
+def test_first_and_last_do_not_depend_on_row_order(spark):
+    rows = [("a", s, s * 10) for s in (2013, 2010, 2012, 2011)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "team string, season int, total_value long").repartition(4)
+        assert tuple(ops.first_last_by_order(df, "team", "season").first())[1:5] == (
+            2010, 2013, 20100, 20130,
+        )
+
+
+def test_union_matches_names_and_refuses_nothing(spark):
+    left = spark.sql("select 1 as a, 'x' as b")
+    right = spark.sql("select 'x' as b, 1 as a")
+    assert [tuple(r) for r in ops.union_all_by_name([left, right]).collect()] == [(1, "x")] * 2
+    wide = ops.union_all_by_name([left, right.drop("b")], allow_missing=True)
+    assert {row.b for row in wide.collect()} == {"x", None}
+    with pytest.raises(ValueError, match="nothing"):
+        ops.union_all_by_name([])
+
+
+def test_a_rule_that_is_null_rejects_the_row(spark):
+    df = spark.createDataFrame([(1, "x"), (None, "y"), (-1, None)], "v int, t string")
+    rules = {"value": F.col("v") > 0, "text": F.col("t") != ""}
+    assert [row.t for row in ops.valid_rows(df, rules).collect()] == ["x"]
+    rejected = {(r.v, r.reject_reason) for r in ops.quarantine(df, rules).collect()}
+    assert rejected == {(None, "value"), (-1, "value,text")}
+
+
+def test_explode_drops_empty_arrays_and_keeps_order_of_columns(spark):
+    df = spark.sql(
+        "select * from values (1, array(struct('a' as x))), (2, cast(array() as array<struct<x:string>>)),"
+        " (3, null) as t(id, items)"
+    )
+    flat = ops.flatten_struct(ops.explode_rows(df, "items", "item", ["id"]), "item", ["x"], "i_", ["id"])
+    assert [tuple(row) for row in flat.collect()] == [(1, "a")]
+    assert flat.columns == ["id", "i_x"]
