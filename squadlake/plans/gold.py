@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from squadlake.operators.profiles import (
 )
 from squadlake.operators.ranking import max_per_entity, top_n_overall, top_n_per_group
 from squadlake.plans.lake import Lake
+from squadlake.plans.together import run_together
 from squadlake.sources.layers import (
     read_gold_table,
     scan_players,
@@ -38,6 +40,7 @@ from squadlake.sources.layers import (
 )
 
 ENTITY = ("players_id", "players_name")
+SUBTOTALS = "subtotals"
 
 
 @dataclass(frozen=True)
@@ -224,17 +227,19 @@ def write_subtotals(
 ) -> tuple[DataFrame, DataFrame]:
     """Team and category sub-totals, written so that later tables start from files."""
     players = scan_players(spark, lake.players)
-    stored = []
-    for name, subtotals, floor in (
-        ("team", team_subtotals, floors.lowest),
-        ("category", category_subtotals, floors.market),
-    ):
-        path = lake.gold_table("subtotals", name)
-        write_parquet_overwrite(
-            subtotals(scan_season_range(players, floor)), path, reads=[lake.players]
-        )
-        stored.append(spark.read.parquet(path))
-    return tuple(stored)
+    teams = team_subtotals(scan_season_range(players, floors.lowest))
+    categories = category_subtotals(scan_season_range(players, floors.market))
+    teams_path = lake.gold_table(SUBTOTALS, "team")
+    categories_path = lake.gold_table(SUBTOTALS, "category")
+    reads = [lake.players]
+    run_together(
+        spark,
+        [
+            partial(write_parquet_overwrite, teams, teams_path, reads),
+            partial(write_parquet_overwrite, categories, categories_path, reads),
+        ],
+    )
+    return spark.read.parquet(teams_path), spark.read.parquet(categories_path)
 
 
 def run_gold(
@@ -243,19 +248,26 @@ def run_gold(
     floors: Floors = Floors(),
     entity: tuple[str, ...] = ENTITY,
 ) -> None:
-    """Write all tables. An error in one stops the run; nothing is skipped over.
+    """Write all tables. An error in one ends the run; nothing is skipped over.
 
     ``entity`` says who a player is: id and name, or only the name, which merges
     namesakes.
     """
     teams, categories = write_subtotals(spark, lake, floors)
-    players = scan_players(spark, lake.players)
-    inputs = gold_inputs(players, teams, categories, floors, entity)
-    reads = [lake.players, lake.gold_table("subtotals", "")]
-    for table in GOLD_TABLES:
-        write_parquet_overwrite(
-            table.build(inputs), lake.gold_table(table.group, table.name), reads
-        )
+    inputs = gold_inputs(scan_players(spark, lake.players), teams, categories, floors, entity)
+    reads = [lake.players, f"{lake.gold}/{SUBTOTALS}"]
+    run_together(
+        spark,
+        [
+            partial(
+                write_parquet_overwrite,
+                table.build(inputs),
+                lake.gold_table(table.group, table.name),
+                reads,
+            )
+            for table in GOLD_TABLES
+        ],
+    )
 
 
 def presentation(spark: SparkSession, lake: Lake, group: str, name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from squadlake.operators.quality import quality_report, quarantine, valid_rows
 from squadlake.operators.sets import union_all_by_name
 from squadlake.plans.bronze import bronze_quality
 from squadlake.plans.lake import Lake
+from squadlake.plans.together import run_together
 from squadlake.sources.layers import (
     scan_bronze,
     scan_players,
@@ -79,9 +82,14 @@ def run_silver(spark: SparkSession, lake: Lake, team_name_mode: str = "token") -
     squads = scan_bronze(spark, lake.bronze)
     write_layer(flatten_squads(squads), lake.players_flat, reads=[lake.bronze], rebalance=False)
     flat = scan_players_flat(spark, lake.players_flat)
-    reads = [lake.players_flat]
-    write_layer(clean_players(flat, team_name_mode), lake.players, reads, rebalance=False)
-    write_layer(rejected_players(flat), lake.quarantine, reads, rebalance=False)
+    write = partial(write_layer, reads=[lake.players_flat], rebalance=False)
+    run_together(
+        spark,
+        [
+            partial(write, clean_players(flat, team_name_mode), lake.players),
+            partial(write, rejected_players(flat), lake.quarantine),
+        ],
+    )
     return scan_players(spark, lake.players)
 
 
