@@ -1,6 +1,7 @@
 from squadlake.plans.bronze import bronze_coverage, bronze_quality, run_bronze
 from squadlake.plans.gold import GOLD_TABLES, Floors, presentation, run_gold
 from squadlake.plans.lake import Lake
+from squadlake.plans.publish import publish_lake
 from squadlake.plans.silver import lake_quality, run_silver, silver_quality
 
 __all__ = [
@@ -11,6 +12,7 @@ __all__ = [
     "bronze_quality",
     "lake_quality",
     "presentation",
+    "publish_lake",
     "run_bronze",
     "run_gold",
     "run_silver",

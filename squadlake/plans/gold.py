@@ -239,7 +239,10 @@ def write_subtotals(
             partial(write_parquet_overwrite, categories, categories_path, reads),
         ],
     )
-    return spark.read.parquet(teams_path), spark.read.parquet(categories_path)
+    return (
+        spark.read.schema(teams.schema).parquet(teams_path),
+        spark.read.schema(categories.schema).parquet(categories_path),
+    )
 
 
 def run_gold(

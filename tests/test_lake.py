@@ -305,3 +305,23 @@ def test_floors_and_entity_are_parameters(spark, lake, tmp_path):
     ranking = presentation(spark, other, "valuable_players", "season_ranking")
     assert {row[0] for row in rows(ranking, "season")} == {2013, 2014}
     assert "players_id" not in ranking.columns
+
+
+def test_command_line_builds_and_publishes_the_same_lake(spark, lake, tmp_path):
+    from squadlake.__main__ import main
+
+    staging, copy = write_staging(tmp_path), Lake(str(tmp_path / "copy"))
+    main(["--staging", staging, "--lake", str(tmp_path / "lake"), "--publish", copy.root])
+    for table in GOLD_TABLES:
+        left = presentation(spark, lake, table.group, table.name)
+        right = presentation(spark, copy, table.group, table.name)
+        assert left.dtypes == right.dtypes
+        assert sorted(map(str, left.collect())) == sorted(map(str, right.collect()))
+    published = sources.scan_players(spark, copy.players)
+    assert published.exceptAll(sources.scan_players(spark, lake.players)).isEmpty()
+    assert sources.scan_quarantine(spark, copy.quarantine).count() == 7
+
+
+def test_an_error_in_one_table_ends_the_run(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run_gold(spark, Lake(str(tmp_path)))
