@@ -21,8 +21,7 @@ def as_column(value: str | Column) -> Column:
 
 def blank_to_null(text: str | Column) -> Column:
     """NULL for the empty string, the text itself otherwise."""
-    text = as_column(text)
-    return F.when(text != "", text)
+    return F.nullif(as_column(text), F.lit(""))
 
 
 def strip(text: str | Column) -> Column:
@@ -43,8 +42,10 @@ def parse_market_value(amount: str | Column) -> Column:
         .when(text.contains(fixed.MILLION_MARK), 1_000_000)
         .otherwise(1)
     )
+    # One pass drops the marks and makes rare white space plain; the cast trims plain space.
+    rare = "".join(space for space in fixed.WHITESPACE if space > " ")
     marks = fixed.CURRENCY_SIGN + fixed.THOUSAND_MARK + fixed.MILLION_MARK
-    number = strip(F.translate(text, marks, "")).try_cast("decimal(20,6)")
+    number = F.translate(text, rare + marks, " " * len(rare)).try_cast("decimal(20,6)")
     return F.when(amount != "", (number * unit).try_cast("bigint")).otherwise(F.lit(0))
 
 
@@ -65,7 +66,7 @@ def nth_or_default(array: str | Column, position: int, default: str = fixed.NO_N
 
 def clean_club_name(club: str | Column) -> Column:
     """The text before the first colon; ``No team`` when that leaves nothing."""
-    head = strip(F.split_part(as_column(club), F.lit(":"), F.lit(1)))
+    head = strip(F.substring_index(as_column(club), ":", 1))
     return F.coalesce(blank_to_null(head), F.lit(fixed.NO_CLUB))
 
 
@@ -100,7 +101,7 @@ def normalize_team_name(name: str | Column, mode: str = "token") -> Column:
     name = as_column(name)
     if mode == "token":
         alone = rf"(?<![^_\s]){fixed.CLUB_TOKEN}(?![^_\s])"
-        return F.trim(F.regexp_replace(F.regexp_replace(name, alone, ""), r"[_\s]+", " "))
+        return F.trim(F.regexp_replace(name, rf"(?:{alone}|[_\s])+", " "))
     if mode == "substring":
         shorter = reduce(
             lambda text, part: F.replace(text, F.lit(part), F.lit("")), fixed.CLUB_SUBSTRINGS, name

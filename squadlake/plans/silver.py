@@ -30,16 +30,20 @@ def flatten_squads(squads: DataFrame) -> DataFrame:
 
 
 def cleaned_columns() -> dict[str, Column]:
-    """The cleaning rules by column, in the order in which a field passes through them."""
+    """The cleaning rules by column.
+
+    Two rules would find nothing left to do and are not applied twice over: the status
+    labels already begin with a capital, and ``clean_club_name`` leaves no empty origin
+    for ``fill_signed_from``.
+    """
     status = cleaning.clean_status(cleaning.default_status("players_status"))
-    origin = cleaning.fill_signed_from(cleaning.clean_club_name("players_signedFrom"))
     return {
         "players_age": cleaning.parse_age("players_age"),
         "players_height": cleaning.parse_height("players_height"),
         "players_foot": cleaning.capitalize_first("players_foot"),
-        "players_signedFrom": origin,
+        "players_signedFrom": cleaning.clean_club_name("players_signedFrom"),
         "players_marketValue": cleaning.parse_market_value("players_marketValue"),
-        "players_status": cleaning.capitalize_first(status),
+        "players_status": status,
         "player_first_nationality": cleaning.nth_or_default("players_nationality", 1),
         "player_second_nationality": cleaning.nth_or_default("players_nationality", 2),
     }

@@ -123,6 +123,15 @@ def test_text_rule(spark, clean, cases):
     assert [(text, got[i]) for i, text in rows] == cases
 
 
+def test_clean_names_and_labels_need_no_second_rule(spark):
+    """What silver leaves out: these compositions change nothing."""
+    texts = sorted({text for text, _ in CLUBS + STATUSES}, key=str)
+    df = spark.createDataFrame([(text,) for text in texts], "t string")
+    club, status = rule.clean_club_name("t"), rule.clean_status("t")
+    changed = (club != rule.fill_signed_from(club)) | (status != rule.capitalize_first(status))
+    assert df.where(changed).isEmpty()
+
+
 def test_market_value_is_bigint_and_height_is_int(spark):
     df = spark.sql("select '1k' as v").select(
         rule.parse_market_value("v").alias("m"), rule.parse_height("v").alias("h")
