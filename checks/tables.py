@@ -143,7 +143,7 @@ def scan_squad_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         .write.partitionBy("folder")
         .json(folder)
     )
-    squads = sources.scan_squad_json(spark, folder, multi_line=False)
+    squads = sources.scan_squad_json(spark, folder, layout="lines")
     return _flat_turns(squads, ("id", "updatedAt", "season"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from squadlake import fixed_values as fixed
 from squadlake.plans import Floors, Lake, publish_lake, run_bronze, run_gold, run_silver
 from squadlake.session import SETTINGS
+from squadlake.sources.squads import LAYOUTS
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -16,9 +17,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--staging", required=True, help="folder of squad documents")
     parser.add_argument("--lake", required=True, help="root folder of the tables to write")
     parser.add_argument("--publish", help="root folder of a second copy of the tables")
-    parser.add_argument(
-        "--lines", action="store_true", help="files hold one document per line, not one in all"
-    )
+    parser.add_argument("--layout", choices=LAYOUTS, default="auto", help="of the documents")
     parser.add_argument("--team-names", choices=("token", "substring"), default="token")
     parser.add_argument("--market-floor", type=int, default=fixed.MARKET_FLOOR)
     parser.add_argument("--age-floor", type=int, default=fixed.SQUAD_AGE_FLOOR)
@@ -29,7 +28,7 @@ def main(arguments: list[str] | None = None) -> None:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     lake = Lake(options.lake.rstrip("/"))
-    run_bronze(spark, options.staging, lake, multi_line=not options.lines)
+    run_bronze(spark, options.staging, lake, options.layout)
     run_silver(spark, lake, options.team_names)
     run_gold(spark, lake, Floors(options.market_floor, options.age_floor))
     if options.publish:

@@ -22,9 +22,9 @@ def document_rules() -> dict[str, Column]:
 
 
 def run_bronze(
-    spark: SparkSession, staging: str, lake: Lake, multi_line: bool = True
+    spark: SparkSession, staging: str, lake: Lake, layout: str = "auto"
 ) -> DataFrame:
-    write_bronze(scan_squad_json(spark, staging, multi_line), lake.bronze, reads=[staging])
+    write_bronze(scan_squad_json(spark, staging, layout), lake.bronze, reads=[staging])
     return scan_bronze(spark, lake.bronze)
 
 

@@ -5,35 +5,71 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squadlake.functions.paths import decode_path, season_from_path, team_from_file_name
+from squadlake.functions.cleaning import strip
+from squadlake.functions.paths import (
+    decode_path,
+    file_name_of,
+    season_from_path,
+    team_from_file_name,
+)
 from squadlake.sources.schemas import CORRUPT, SQUAD
 
+DOCUMENT = f"{SQUAD}, {CORRUPT} string"
+PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+LAYOUTS = ("auto", "document", "lines")
+
+
+def _parse_files(spark: SparkSession, path: str, files: dict) -> DataFrame:
+    """Documents of files that are each either one document or one per line.
+
+    A first line that is a whole object means one document per line. The reader for
+    multi-line documents would stop after the first object of such a file.
+    """
+    text = spark.read.options(**files).text(path, wholetext=True)
+    head = strip(F.substring_index("value", "\n", 1))
+    lines = F.filter(F.split("value", "\n"), lambda line: strip(line) != "")
+    documents = F.when(head.startswith("{") & head.endswith("}"), lines).otherwise(F.array("value"))
+    parsed = text.select(
+        F.col("_metadata.file_path").alias("path"), F.explode(documents).alias("document")
+    ).select("path", "document", F.from_json("document", DOCUMENT, PERMISSIVE).alias("squad"))
+    unreadable = F.when(F.col("squad").isNull(), F.col("document"))
+    return parsed.select("squad.*", unreadable.alias("unreadable"), "path").select(
+        "id",
+        "players",
+        "updatedAt",
+        F.coalesce(CORRUPT, "unreadable").alias(CORRUPT),
+        "path",
+    )
+
 
 def scan_squad_json(
-    spark: SparkSession,
-    path: str,
-    multi_line: bool = True,
-    glob: str = "*.json",
+    spark: SparkSession, path: str, layout: str = "auto", glob: str = "*.json"
 ) -> DataFrame:
     """Squad documents below ``path`` with ``team``, ``season`` and ``source_file``.
 
-    One document per file, in one line or many; ``multi_line=False`` reads files
-    with one document per line instead, which Spark can also split. The schema is
-    given, so nothing is read twice to infer it. A document that cannot be parsed
-    stays as a row, with its text in ``_corrupt_record``.
+    ``auto``      every file is one document, in one line or many, or one per line
+    ``document``  every file is one document, read by Spark's multi-line reader
+    ``lines``     one document per line; the only layout that splits large files
+
+    The schema is given, so nothing is read twice to infer it. A document that
+    cannot be parsed stays as a row, with its text in ``_corrupt_record``.
     """
-    raw = (
-        spark.read.schema(f"{SQUAD}, {CORRUPT} string")
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .json(path)
-    )
-    return raw.select("*", decode_path("_metadata.file_path").alias("source_file")).withColumns(
-        {
-            "team": team_from_file_name(F.substring_index("source_file", "/", -1)),
-            "season": season_from_path("source_file"),
-        }
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}: use one of {', '.join(LAYOUTS)}")
+    files = {"recursiveFileLookup": True, "pathGlobFilter": glob}
+    if layout == "auto":
+        raw = _parse_files(spark, path, files)
+    else:
+        reader = spark.read.schema(DOCUMENT).options(**files).options(**PERMISSIVE)
+        documents = reader.option("multiLine", layout == "document").json(path)
+        raw = documents.select("*", F.col("_metadata.file_path").alias("path"))
+    return (
+        raw.withColumn("source_file", decode_path("path"))
+        .withColumns(
+            {
+                "team": team_from_file_name(file_name_of("source_file")),
+                "season": season_from_path("source_file"),
+            }
+        )
+        .drop("path")
     )

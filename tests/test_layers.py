@@ -84,14 +84,50 @@ def squad(key, *names):
     return {"id": key, "updatedAt": "t", "players": [{"name": name} for name in names]}
 
 
-def test_one_document_per_line(spark, tmp_path):
+def staged(tmp_path, **texts):
     folder = tmp_path / "Season_2001"
     folder.mkdir()
-    lines = [squad("1", "a", "b"), squad("2", "c")]
-    (folder / "Harbour_1_2001.json").write_text("\n".join(map(json.dumps, lines)))
-    df = sources.scan_squad_json(spark, str(tmp_path), multi_line=False)
+    for name, text in texts.items():
+        (folder / f"{name}_1_2001.json").write_text(text, encoding="utf-8")
+    return str(tmp_path)
+
+
+ONE, TWO = json.dumps(squad("1", "a", "b")), json.dumps(squad("2", "c"))
+
+
+@pytest.mark.parametrize("layout", ["auto", "lines"])
+def test_one_document_per_line(spark, tmp_path, layout):
+    path = staged(tmp_path, Harbour=f"{ONE}\r\n\n {TWO} \n", Quay=TWO)
+    df = sources.scan_squad_json(spark, path, layout)
     got = df.select("team", "season", "id", F.size("players")).collect()
-    assert sorted(map(tuple, got)) == [("Harbour", 2001, "1", 2), ("Harbour", 2001, "2", 1)]
+    assert sorted(map(tuple, got)) == [
+        ("Harbour", 2001, "1", 2), ("Harbour", 2001, "2", 1), ("Quay", 2001, "2", 1),
+    ]
+
+
+@pytest.mark.parametrize("layout", ["auto", "document"])
+def test_one_document_per_file(spark, tmp_path, layout):
+    path = staged(tmp_path, A=json.dumps(squad("1", "a"), indent=1), B=TWO, C=f"\n\n{TWO}")
+    df = sources.scan_squad_json(spark, path, layout)
+    got = df.select("team", "id", "players.name", "_corrupt_record").collect()
+    assert sorted((r.team, r.id, *r.name, r[3]) for r in got) == [
+        ("A", "1", "a", None), ("B", "2", "c", None), ("C", "2", "c", None),
+    ]
+
+
+def test_unreadable_documents_stay_visible(spark, tmp_path):
+    path = staged(tmp_path, A=f"{ONE}\nnonsense\n{TWO}", B=" ", C='{"id": "3", "players": [{')
+    df = sources.scan_squad_json(spark, path)
+    got = sorted((r.team, r.id or "", r._corrupt_record) for r in df.collect())
+    assert got == [
+        ("A", "", "nonsense"), ("A", "1", None), ("A", "2", None), ("B", "", " "),
+        ("C", "", '{"id": "3", "players": [{'),
+    ]
+
+
+def test_layout_is_checked(spark, tmp_path):
+    with pytest.raises(ValueError, match="unknown layout"):
+        sources.scan_squad_json(spark, str(tmp_path), "other")
 
 
 def test_unknown_fields_are_ignored_and_missing_ones_are_null(spark, tmp_path):
