@@ -16,6 +16,7 @@ from squadlake.sources.schemas import CORRUPT, SQUAD
 
 DOCUMENT = f"{SQUAD}, {CORRUPT} string"
 PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+BYTE_ORDER_MARK = "\ufeff"
 LAYOUTS = ("auto", "document", "lines")
 
 
@@ -23,15 +24,20 @@ def _parse_files(spark: SparkSession, path: str, files: dict) -> DataFrame:
     """Documents of files that are each either one document or one per line.
 
     A first line that is a whole object means one document per line. The reader for
-    multi-line documents would stop after the first object of such a file.
+    multi-line documents would stop after the first object of such a file. Whole files
+    come as bytes, which is several times faster here than reading them as text.
     """
-    text = spark.read.options(**files).text(path, wholetext=True)
+    content = spark.read.format("binaryFile").options(**files).load(path)
+    text = content.select(
+        F.ltrim(F.col("content").cast("string"), F.lit(BYTE_ORDER_MARK)).alias("value"),
+        F.col("_metadata.file_path").alias("path"),
+    )
     head = strip(F.substring_index("value", "\n", 1))
     lines = F.filter(F.split("value", "\n"), lambda line: strip(line) != "")
     documents = F.when(head.startswith("{") & head.endswith("}"), lines).otherwise(F.array("value"))
-    parsed = text.select(
-        F.col("_metadata.file_path").alias("path"), F.explode(documents).alias("document")
-    ).select("path", "document", F.from_json("document", DOCUMENT, PERMISSIVE).alias("squad"))
+    parsed = text.select("path", F.explode(documents).alias("document")).select(
+        "path", "document", F.from_json("document", DOCUMENT, PERMISSIVE).alias("squad")
+    )
     unreadable = F.when(F.col("squad").isNull(), F.col("document"))
     return parsed.select("squad.*", unreadable.alias("unreadable"), "path").select(
         "id",

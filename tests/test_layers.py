@@ -107,11 +107,12 @@ def test_one_document_per_line(spark, tmp_path, layout):
 
 @pytest.mark.parametrize("layout", ["auto", "document"])
 def test_one_document_per_file(spark, tmp_path, layout):
-    path = staged(tmp_path, A=json.dumps(squad("1", "a"), indent=1), B=TWO, C=f"\n\n{TWO}")
+    path = staged(tmp_path, A=json.dumps(squad("1", "a"), indent=1), B=TWO, C=f"\n\n{TWO}", D=f"\ufeff{ONE}")
     df = sources.scan_squad_json(spark, path, layout)
     got = df.select("team", "id", "players.name", "_corrupt_record").collect()
     assert sorted((r.team, r.id, *r.name, r[3]) for r in got) == [
         ("A", "1", "a", None), ("B", "2", "c", None), ("C", "2", "c", None),
+        ("D", "1", "a", "b", None),
     ]
 
 
