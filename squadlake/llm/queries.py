@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squadlake.llm import chat, search, sharding
+from squadlake.llm import chat, decontamination, search, sharding
 from squadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,12 +24,19 @@ def op9_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_inner_products(table(spark, sf_dir, "embeddings"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontamination_digest(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search)
+    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search, op10_decontamination)
 }
 
 SQL: dict[str, str] = {
     "op3_chat_formatting": chat.CHAT_SQL,
     "op9_top_k_search": search.SEARCH_SQL,
+    "op10_decontamination": decontamination.DECONTAMINATION_SQL,
 }
