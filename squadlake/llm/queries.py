@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squadlake.llm import chat, decontamination, search, sharding
+from squadlake.llm import chat, decontamination, leaks, search, sharding
 from squadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,13 +30,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.secrets_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search, op10_decontamination)
+    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search, op10_decontamination, op6_secret_scans)
 }
 
 SQL: dict[str, str] = {
     "op3_chat_formatting": chat.CHAT_SQL,
+    "op6_secret_scans": leaks.SECRETS_SQL,
     "op9_top_k_search": search.SEARCH_SQL,
     "op10_decontamination": decontamination.DECONTAMINATION_SQL,
 }
