@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squadlake.llm import chat, decontamination, leaks, search, sharding
+from squadlake.llm import chat, decontamination, leaks, search, sharding, simhash
 from squadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,9 +34,13 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.secrets_digest(table(spark, sf_dir, "documents"))
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search, op10_decontamination, op6_secret_scans)
+    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search, op10_decontamination, op6_secret_scans, op1_simhash_near_dedup)
 }
 
 SQL: dict[str, str] = {
