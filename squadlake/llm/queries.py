@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squadlake.llm import chat, decontamination, leaks, search, sharding, simhash
+from squadlake.llm import chat, decontamination, leaks, packing, search, sharding, simhash
 from squadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,9 +38,13 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search, op10_decontamination, op6_secret_scans, op1_simhash_near_dedup)
+    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search, op10_decontamination, op6_secret_scans, op1_simhash_near_dedup, op7_packing)
 }
 
 SQL: dict[str, str] = {
