@@ -38,3 +38,25 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
         F.translate(text, UPPER, LOWER)
     )
+
+
+#: Rows of a few numbers each that are broadcast at most; more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
+def small_side(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``frame`` to be broadcast if it has at most ``rows`` rows, else as it is, for a shuffle join."""
+    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+
+
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def is_held_out() -> Column:
+    """A third of the ids, kept from training: crc32 of the id as text leaves 1 on division by 3."""
+    return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
