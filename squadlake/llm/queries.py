@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squadlake.llm import chat, decontamination, leaks, packing, quality, search, sharding, simhash
+from squadlake.llm import chat, decontamination, leaks, packing, quality, search, sharding, simhash, toxicity
 from squadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,9 +46,13 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search, op10_decontamination, op6_secret_scans, op1_simhash_near_dedup, op7_packing, op5_quality_classifier)
+    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search, op10_decontamination, op6_secret_scans, op1_simhash_near_dedup, op7_packing, op5_quality_classifier, op4_toxicity)
 }
 
 SQL: dict[str, str] = {
