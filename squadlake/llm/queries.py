@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squadlake.llm import chat, decontamination, leaks, packing, quality, search, sharding, simhash, toxicity
+from squadlake.llm import chat, decontamination, leaks, packing, quality, search, sharding, simhash, suffixes, toxicity
 from squadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,9 +50,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search, op10_decontamination, op6_secret_scans, op1_simhash_near_dedup, op7_packing, op5_quality_classifier, op4_toxicity)
+    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search, op10_decontamination, op6_secret_scans, op1_simhash_near_dedup, op7_packing, op5_quality_classifier, op4_toxicity, op2_suffix_array_dedup)
 }
 
 SQL: dict[str, str] = {
