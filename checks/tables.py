@@ -147,6 +147,71 @@ def scan_squad_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_turns(squads, ("id", "updatedAt", "season"))
 
 
+def _mixed_files(spark: SparkSession, sf_dir: str) -> str:
+    """Conversations as files of four shapes, by the document's number: one document a line
+    after a blank line, indented ones in a row, an array, and a single one."""
+    by_shape = F.pmod(F.xxhash64("id", "updatedAt"), F.lit(4))
+    shaped = conversation_documents(spark, sf_dir).select(
+        F.concat(F.lit("Season_"), F.col("season")).alias("folder"),
+        by_shape.alias("shape"),
+        F.when(by_shape == 3, F.col("id")).alias("alone"),
+        F.to_json(F.struct("id", "players", "updatedAt")).alias("line"),
+        F.to_json(F.struct("id", "players", "updatedAt"), {"pretty": "true"}).alias("indented"),
+    )
+    file = F.concat_ws("\n", F.collect_list(F.when(F.col("shape") == 1, F.col("indented")).otherwise(F.col("line"))))
+    listed = F.concat(F.lit("["), F.concat_ws(",", F.collect_list("line")), F.lit("]"))
+    # A few hundred documents in a file, whatever the table's size.
+    part = F.pmod(F.xxhash64("line"), F.lit(1 + shaped.count() // 10_000))
+    texts = shaped.groupBy("folder", "shape", "alone", part.alias("part")).agg(
+        F.when(F.col("shape") == 0, F.concat(F.lit("\n"), file))
+        .when(F.col("shape") == 2, listed)
+        .otherwise(file)
+        .alias("value")
+    )
+    folder = scratch(spark, "squad-files")
+    # With a separator that no text has, each row is a file's text, and each file has one row.
+    (
+        texts.repartition(F.col("folder"), F.col("shape"), F.col("alone"), F.col("part"))
+        .select("folder", "value")
+        .write.partitionBy("folder")
+        .option("maxRecordsPerFile", 1)
+        .text(folder)
+    )
+    return folder
+
+
+def _scanned(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
+    squads = sources.scan_squad_json(spark, _mixed_files(spark, sf_dir), layout, glob="*.txt")
+    return _flat_turns(squads, ("id", "updatedAt", "season"))
+
+
+SEASON_SQL = ", cast(2000 + conv_id % 10 as integer) as season from conversations"
+
+
+@check(NESTED_SQL + SEASON_SQL)
+def scan_squad_json_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scanned(spark, sf_dir, "auto")
+
+
+@check(NESTED_SQL + SEASON_SQL)
+def scan_squad_json_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scanned(spark, sf_dir, "document")
+
+
+@check(
+    YEARS_SQL
+    + """
+select (select count(distinct o_custkey) from orders) as o_custkeys,
+       (select cast(count(*) as bigint) from orders) as files,
+       (select count(*) from seen) as present, (select count(*) from absent) as missing
+"""
+)
+def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of a run: every order is a file here, of a customer and a year."""
+    totals = ops.run_totals(order_years(spark, sf_dir), "o_custkey", "season", "o_orderkey")
+    return totals.withColumns({c: F.col(c).cast("bigint") for c in totals.columns})
+
+
 @check(
     """
 select event_type, count(*) as events,
@@ -176,6 +241,13 @@ def lookup_team_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.lookup_team_season(fact(spark, sf_dir), "NATION_7", 1998)
 
 
+@check(FACT_SQL + "select * replace (replace(team, '_', '') as team) from fact where team = 'NATION_7' and season = 1998")
+def lookup_team_season_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By a raw name, in a table whose names have lost the suffix wherever it stood."""
+    teams = fact(spark, sf_dir).withColumn("team", F.replace("team", F.lit("_"), F.lit("")))
+    return sources.lookup_team_season(teams, "FCNATION7FC", 1998, "substring")
+
+
 @check(FACT_SQL + "select * from fact where season >= 1998")
 def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FACT written by season, published to a second place and read from there with a floor."""

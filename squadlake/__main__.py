@@ -7,7 +7,15 @@ import argparse
 from pyspark.sql import SparkSession
 
 from squadlake import fixed_values as fixed
-from squadlake.plans import Floors, Lake, publish_lake, run_bronze, run_gold, run_silver
+from squadlake.plans import (
+    Floors,
+    Lake,
+    publish_lake,
+    run_bronze,
+    run_gold,
+    run_reports,
+    run_silver,
+)
 from squadlake.session import SETTINGS
 from squadlake.sources.squads import LAYOUTS
 
@@ -31,6 +39,7 @@ def main(arguments: list[str] | None = None) -> None:
     run_bronze(spark, options.staging, lake, options.layout)
     run_silver(spark, lake, options.team_names)
     run_gold(spark, lake, Floors(options.market_floor, options.age_floor))
+    run_reports(spark, lake)
     if options.publish:
         publish_lake(spark, lake, Lake(options.publish.rstrip("/")))
 

@@ -92,6 +92,11 @@ def capitalize_first(text: str | Column) -> Column:
     return F.concat(F.upper(F.left(text, F.lit(1))), F.lower(rest))
 
 
+def _or_as_it_was(shorter: Column, name: Column) -> Column:
+    """A name of nothing but the suffix stays, so that such teams don't become one."""
+    return F.when(shorter == "", name).otherwise(shorter)
+
+
 def normalize_team_name(name: str | Column, mode: str = "token") -> Column:
     """Readable team name without the club suffix.
 
@@ -101,10 +106,10 @@ def normalize_team_name(name: str | Column, mode: str = "token") -> Column:
     name = as_column(name)
     if mode == "token":
         alone = rf"(?<![^_\s]){fixed.CLUB_TOKEN}(?![^_\s])"
-        return F.trim(F.regexp_replace(name, rf"(?:{alone}|[_\s])+", " "))
+        return _or_as_it_was(F.trim(F.regexp_replace(name, rf"(?:{alone}|[_\s])+", " ")), name)
     if mode == "substring":
         shorter = reduce(
             lambda text, part: F.replace(text, F.lit(part), F.lit("")), fixed.CLUB_SUBSTRINGS, name
         )
-        return F.trim(F.translate(shorter, "_", " "))
+        return _or_as_it_was(F.trim(F.translate(shorter, "_", " ")), name)
     raise ValueError(f"unknown mode {mode!r}: use 'token' or 'substring'")

@@ -2,6 +2,7 @@ from squadlake.operators.coverage import (
     coverage_gaps,
     coverage_report,
     list_seasons,
+    run_totals,
     seasons_by_team,
 )
 from squadlake.operators.growth import first_last_by_order, yoy_growth
@@ -48,6 +49,7 @@ __all__ = [
     "quarantine",
     "rank_at_most",
     "reject_reason",
+    "run_totals",
     "seasons_by_team",
     "stats_by_group",
     "top_n_overall",

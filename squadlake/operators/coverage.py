@@ -6,7 +6,7 @@ entity holds at most one number per period between the first and the last.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,26 +34,27 @@ def seasons_by_team(
     )
 
 
+def _periods_in_use(present: DataFrame, listed: str) -> Column:
+    """All periods some entity has, sorted: one short list, whatever the numbers are.
+
+    It asks for the other columns too, so that it reads the very shuffle its caller reads.
+    """
+    others = [F.max(name) for name in present.columns if name != listed]
+    used = present.select("*", F.explode(listed).alias("__period"))
+    periods = F.sort_array(F.collect_set("__period")).alias("periods")
+    return used.agg(F.struct(periods, *others)).scalar().getField("periods")
+
+
 def coverage_gaps(df: DataFrame, entity: str = "team", period: str = "season") -> DataFrame:
     """(entity, period) pairs missing from the table, for periods some entity has.
 
-    An entity lists the numbers between the first and last period that it lacks;
-    an equality join with the periods in use drops years nobody played. The two
-    bounds are the only thing every task needs, so there is no product of
-    entities and periods to join against and nothing sized by the data to ship.
-    Bounds and periods come from the same per-entity lists as the gaps, so the
-    table is scanned and shuffled once.
+    Every entity's list is taken from the list of all periods in use, so that nothing
+    depends on how far apart the numbers lie and nothing is joined. The two lists come from
+    the same shuffle.
     """
     present = seasons_by_team(df, entity, period, "__present")
-    first = present.agg(F.min(F.array_min("__present"))).scalar()
-    last = present.agg(F.max(F.array_max("__present"))).scalar()
-    in_use = present.select(F.explode("__present").alias(period)).distinct()
-    absent = F.array_except(F.sequence(first, last), "__present")
-    return (
-        present.select(entity, F.explode(absent).alias(period))
-        .join(in_use, period, "left_semi")
-        .select(entity, period)
-    )
+    absent = F.array_except(_periods_in_use(present, "__present"), "__present")
+    return present.select(entity, F.explode(absent).alias(period))
 
 
 def coverage_report(
@@ -62,9 +63,8 @@ def coverage_report(
     """Per entity: files, periods present and periods missing.
 
     A file belongs to one period. Rows shrink to files, to pairs and to entities,
-    each step reducing before its shuffle.
+    each step reducing before its shuffle; the missing periods are on the row already.
     """
-    none = F.array().cast("array<int>")
     present = (
         df.select(entity, period, file)
         .distinct()
@@ -76,11 +76,18 @@ def coverage_report(
             F.sort_array(F.collect_list(period)).alias(f"{period}s_present"),
         )
     )
-    missing = (
-        coverage_gaps(df, entity, period)
-        .groupBy(entity)
-        .agg(F.sort_array(F.collect_list(period)).alias(f"{period}s_missing"))
-    )
-    return present.join(missing, entity, "left").withColumn(
-        f"{period}s_missing", F.coalesce(f"{period}s_missing", none)
+    missing = F.array_except(_periods_in_use(present, f"{period}s_present"), f"{period}s_present")
+    return present.withColumn(f"{period}s_missing", missing)
+
+
+def run_totals(
+    df: DataFrame, entity: str = "team", period: str = "season", file: str = "source_file"
+) -> DataFrame:
+    """One row for the whole table: entities, periods, files, pairs present and pairs missing."""
+    report = coverage_report(df, entity, period, file)
+    return report.agg(
+        F.count(F.lit(1)).alias(f"{entity}s"),
+        F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
+        F.coalesce(F.sum(F.size(f"{period}s_present")), F.lit(0)).alias("present"),
+        F.coalesce(F.sum(F.size(f"{period}s_missing")), F.lit(0)).alias("missing"),
     )

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Above this rank Spark plans no per-task limit ahead of the shuffle.
 GROUP_LIMIT_CONF = "spark.sql.window.group.limit.threshold"
-SALTS_WITHOUT_GROUP_LIMIT = 64
 
 
 def _best_first(value: str, tie_break: Sequence[str]):
@@ -33,25 +33,24 @@ def top_n_per_group(
 ) -> DataFrame:
     """The ``k`` rows with the highest value in every group, ranked from 1.
 
-    Every task keeps at most ``k`` rows of a group before the shuffle, so a group
-    that holds a third of the table still sends ``k`` rows per task. With
-    ``salts`` above 1 a first round ranks within (group, salt), which spreads one
-    group over that many tasks; the second round sees ``k`` rows per salt. Spark
-    plans no limit ahead of the shuffle for large ``k``, so salting is the
-    default there.
+    Rounds rank within (group, salt) and keep ``k`` rows of each, with ever fewer salts, until
+    a last round ranks the group. Where Spark itself keeps at most ``k`` rows of a group
+    in each task before the shuffle, one round is enough. It plans no such limit for large
+    ``k``; then the first round deals a group to as many salts as a shuffle has
+    partitions and the second to the square root of that, so that no task sorts more than
+    its share of a group or ``k`` rows for each salt it gathers. ``salts`` gives the
+    first round's number.
     """
     order = _best_first(value, tie_break)
     if salts is None:
-        threshold = int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000"))
-        salts = 1 if k < threshold else SALTS_WITHOUT_GROUP_LIMIT
-    if salts > 1:
-        salt = F.pmod(F.xxhash64(*tie_break), F.lit(salts))
-        within_salt = Window.partitionBy(*keys, "__salt").orderBy(*order)
-        df = rank_at_most(
-            df.withColumn("__salt", salt).withColumn(rank, F.row_number().over(within_salt)), k, rank
-        ).drop("__salt", rank)
-    within_group = Window.partitionBy(*keys).orderBy(*order)
-    return rank_at_most(df.withColumn(rank, F.row_number().over(within_group)), k, rank)
+        conf = df.sparkSession.conf
+        limited = k < int(conf.get(GROUP_LIMIT_CONF, "1000"))
+        salts = 1 if limited else int(conf.get("spark.sql.shuffle.partitions"))
+    for number in [n for n in (salts, isqrt(salts)) if n > 1] + [1]:
+        salt = F.pmod(F.xxhash64(*tie_break), F.lit(number))
+        within = Window.partitionBy(*keys, *([salt] if number > 1 else [])).orderBy(*order)
+        df = rank_at_most(df.drop(rank).withColumn(rank, F.row_number().over(within)), k, rank)
+    return df
 
 
 def max_per_entity(

@@ -1,8 +1,8 @@
-from squadlake.plans.bronze import bronze_coverage, bronze_quality, run_bronze
+from squadlake.plans.bronze import bronze_coverage, bronze_quality, bronze_totals, run_bronze
 from squadlake.plans.gold import GOLD_TABLES, Floors, presentation, run_gold
 from squadlake.plans.lake import Lake
 from squadlake.plans.publish import publish_lake
-from squadlake.plans.silver import lake_quality, run_silver, silver_quality
+from squadlake.plans.silver import lake_quality, run_reports, run_silver, silver_quality
 
 __all__ = [
     "GOLD_TABLES",
@@ -10,11 +10,13 @@ __all__ = [
     "Lake",
     "bronze_coverage",
     "bronze_quality",
+    "bronze_totals",
     "lake_quality",
     "presentation",
     "publish_lake",
     "run_bronze",
     "run_gold",
+    "run_reports",
     "run_silver",
     "silver_quality",
 ]

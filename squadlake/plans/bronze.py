@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squadlake.operators.coverage import coverage_report
+from squadlake.operators.coverage import coverage_report, run_totals
 from squadlake.operators.quality import quality_report
 from squadlake.plans.lake import Lake
 from squadlake.sources.layers import scan_bronze, write_bronze
@@ -30,9 +30,14 @@ def run_bronze(
 
 def bronze_quality(squads: DataFrame) -> DataFrame:
     return quality_report(
-        squads, "bronze", ["team", "season"], document_rules(), "source_file", "players"
+        squads, "bronze", ["team", "season"], document_rules(), "source_file", "players.id"
     )
 
 
 def bronze_coverage(squads: DataFrame) -> DataFrame:
     return coverage_report(squads)
+
+
+def bronze_totals(squads: DataFrame) -> DataFrame:
+    """Teams, files, and squads of a team and season there and missing, of a whole run."""
+    return run_totals(squads)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squadlake import fixed_values as fixed
-from squadlake.functions.bands import age_band
+from squadlake.functions.bands import age_band, band_order
 from squadlake.operators.growth import first_last_by_order, yoy_growth
 from squadlake.operators.profiles import (
     avg_by_group,
@@ -176,9 +176,13 @@ class GoldTable:
     order_by: tuple[str, ...] = field(default=())
 
     def presentation_order(self) -> list[Column]:
-        """``-name`` sorts downwards."""
+        """``-name`` sorts downwards; age bands sort by age, not by their label."""
+
+        def key(name: str) -> Column:
+            return band_order(name) if name == "age_group" else F.col(name)
+
         return [
-            F.col(name[1:]).desc() if name.startswith("-") else F.col(name).asc()
+            key(name[1:]).desc() if name.startswith("-") else key(name).asc()
             for name in self.order_by
         ]
 

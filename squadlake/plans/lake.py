@@ -31,5 +31,8 @@ class Lake:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    def report(self, name: str) -> str:
+        return f"{self.root}/reports/{name}"
+
     def gold_table(self, group: str, name: str) -> str:
         return f"{self.gold}/{group}/{name}"

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from squadlake.functions import cleaning
 from squadlake.operators.nested import explode_players, flatten_player
-from squadlake.operators.quality import quality_report, quarantine, valid_rows
+from squadlake.operators.quality import quality_report, reject_reason
 from squadlake.operators.sets import union_all_by_name
-from squadlake.plans.bronze import bronze_quality
+from squadlake.plans.bronze import bronze_coverage, bronze_quality, bronze_totals
 from squadlake.plans.lake import Lake
 from squadlake.plans.together import run_together
 from squadlake.sources.layers import (
@@ -19,14 +19,23 @@ from squadlake.sources.layers import (
     scan_players,
     scan_players_flat,
     write_layer,
+    write_parquet_overwrite,
 )
+from squadlake.sources.schemas import CORRUPT
 
 CARRIED = ("id", "updatedAt", "team", "season")
+REASON = "reject_reason"
 
 
 def flatten_squads(squads: DataFrame) -> DataFrame:
-    """Players as rows. A document that failed to parse has no players to give."""
-    return flatten_player(explode_players(squads, CARRIED), CARRIED)
+    """Players as rows, each with the rules it breaks, judged here once for all later tables.
+
+    A damaged document may still give players, with fields missing. They are kept, and
+    rejected for the document they come from.
+    """
+    keep = (*CARRIED, CORRUPT)
+    flat = flatten_player(explode_players(squads, keep), keep)
+    return flat.withColumn(REASON, reject_reason(player_rules())).drop(CORRUPT)
 
 
 def cleaned_columns() -> dict[str, Column]:
@@ -53,6 +62,7 @@ def player_rules() -> dict[str, Column]:
     """What makes a flat row usable, stated on the raw fields."""
     cleaned = cleaned_columns()
     return {
+        "document": F.col(CORRUPT).isNull(),
         "foot": F.col("players_foot") != "",
         "height": cleaned["players_height"] > 0,
         "market_value": cleaned["players_marketValue"] > 0,
@@ -64,9 +74,10 @@ def clean_players(flat: DataFrame, team_name_mode: str = "token") -> DataFrame:
     """Valid players, typed and cleaned, under the readable team name."""
     names = cleaned_columns() | {"team": cleaning.normalize_team_name("team", team_name_mode)}
     return (
-        valid_rows(flat, player_rules())
+        flat.where(F.col(REASON).isNull())
         .withColumns(names)
         .drop(
+            REASON,
             "id",
             "updatedAt",
             "players_dateOfBirth",
@@ -78,7 +89,7 @@ def clean_players(flat: DataFrame, team_name_mode: str = "token") -> DataFrame:
 
 
 def rejected_players(flat: DataFrame) -> DataFrame:
-    return quarantine(flat, player_rules())
+    return flat.where(F.col(REASON).isNotNull())
 
 
 def run_silver(spark: SparkSession, lake: Lake, team_name_mode: str = "token") -> DataFrame:
@@ -98,7 +109,7 @@ def run_silver(spark: SparkSession, lake: Lake, team_name_mode: str = "token") -
 
 
 def silver_quality(flat: DataFrame) -> DataFrame:
-    return quality_report(flat, "silver", ["team", "season"], player_rules())
+    return quality_report(flat, "silver", ["team", "season"], {REASON: F.col(REASON).isNull()})
 
 
 def lake_quality(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -109,3 +120,18 @@ def lake_quality(spark: SparkSession, lake: Lake) -> DataFrame:
             silver_quality(scan_players_flat(spark, lake.players_flat)),
         ]
     )
+
+
+def run_reports(spark: SparkSession, lake: Lake) -> None:
+    """Counts of both layers, coverage by team and the totals of the run, as tables."""
+    squads = scan_bronze(spark, lake.bronze)
+    reports = {
+        "quality": lake_quality(spark, lake),
+        "coverage": bronze_coverage(squads),
+        "run_totals": bronze_totals(squads),
+    }
+    reads = [lake.bronze, lake.players_flat]
+    run_together(
+        spark,
+        [partial(write_parquet_overwrite, df, lake.report(name), reads) for name, df in reports.items()],
+    )

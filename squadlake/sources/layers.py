@@ -28,14 +28,39 @@ CODEC = "snappy"
 REBALANCE_PARTITIONS = 1024
 
 
-def _location(path: str) -> list[str]:
-    """Path parts without the scheme of a local file, for comparing locations."""
-    path = path.removeprefix("file:")
-    return [part for part in path.split("/") if part]
+# Schemes that name the same store.
+SAME_STORE = {"s3": "s3a", "s3n": "s3a"}
 
 
-def _overlap(one: str, other: str) -> bool:
-    left, right = _location(one), _location(other)
+def _location(spark: SparkSession, path: str) -> list[str]:
+    """Scheme, authority and the parts of a path, as its file system names them.
+
+    A path without scheme or authority gets those of the default file system, and dots are
+    resolved; that looks at the configuration only, not at the store. A scheme
+    without a file system on the class path is compared as written.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    given = jvm.org.apache.hadoop.fs.Path(path)
+    default = jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf)
+    uri = given.toUri().normalize()
+    scheme, authority = uri.getScheme(), uri.getAuthority()
+    if scheme is None or (scheme == default.getScheme() and not authority):
+        scheme, authority = default.getScheme(), default.getAuthority()
+    where = uri.getPath()
+    if not where.startswith("/"):
+        where = f"{spark.sparkContext._jvm.java.lang.System.getProperty('user.dir')}/{where}"
+    parts: list[str] = []
+    for part in where.split("/"):
+        if part == "..":
+            parts = parts[:-1]
+        elif part not in ("", "."):
+            parts.append(part)
+    return [SAME_STORE.get(scheme.lower(), scheme.lower()), (authority or "").lower(), *parts]
+
+
+def _overlap(spark: SparkSession, one: str, other: str) -> bool:
+    left, right = _location(spark, one), _location(spark, other)
     shared = min(len(left), len(right))
     return left[:shared] == right[:shared]
 
@@ -74,7 +99,7 @@ def write_parquet_overwrite(
     delete the input before it is read, so that is refused here.
     """
     for source in reads:
-        if _overlap(source, target):
+        if _overlap(df.sparkSession, source, target):
             raise ValueError(f"refusing to overwrite {target}: the data is read from {source}")
     writer = df.write.mode("overwrite").option("compression", CODEC)
     if partition_by:
@@ -154,12 +179,15 @@ def scan_season_range(df: DataFrame, floor: int, season: str = "season") -> Data
     return df.where(F.col(season) >= floor)
 
 
-def lookup_team_season(df: DataFrame, team: str, season: int) -> DataFrame:
-    """One squad of one season. ``team`` may be the raw or the readable name.
+def lookup_team_season(
+    df: DataFrame, team: str, season: int, team_name_mode: str = "token"
+) -> DataFrame:
+    """One squad of one season. ``team`` may be the raw or the readable name, the latter in
+    the mode the table was built with.
 
     The name is normalised as a constant, so the filter still reaches the scan.
     """
-    wanted = F.col("team").isin(F.lit(team), normalize_team_name(F.lit(team)))
+    wanted = F.col("team").isin(F.lit(team), normalize_team_name(F.lit(team), team_name_mode))
     return df.where((F.col("season") == season) & wanted)
 
 

@@ -37,7 +37,7 @@ BRONZE = f"{SQUAD}, {CORRUPT} string, source_file string, team string, season in
 PLAYER_FLAT = (
     "id string, updatedAt string, "
     + ", ".join(f"players_{field} {_type_of(field)}" for field in PLAYER_FIELDS)
-    + ", team string, season int"
+    + ", team string, season int, reject_reason string"
 )
 
 PLAYER_CLEAN = """
@@ -56,4 +56,4 @@ PLAYER_CLEAN = """
     season int
 """
 
-QUARANTINE = f"{PLAYER_FLAT}, reject_reason string"
+QUARANTINE = PLAYER_FLAT

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squadlake.functions.cleaning import strip
@@ -16,29 +16,76 @@ from squadlake.sources.schemas import CORRUPT, SQUAD
 
 DOCUMENT = f"{SQUAD}, {CORRUPT} string"
 PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-BYTE_ORDER_MARK = "\ufeff"
+BYTE_ORDER_MARK = "﻿"
 LAYOUTS = ("auto", "document", "lines")
+END_MARK = "#end"
 
 
-def _parse_files(spark: SparkSession, path: str, files: dict) -> DataFrame:
-    """Documents of files that are each either one document or one per line.
+def split_documents(text: Column) -> Column:
+    """The JSON texts of one value, of the elements of one array or of documents that
+    follow one another on lines of their own; NULL if the text is anything else.
 
-    A first line that is a whole object means one document per line. The reader for
-    multi-line documents would stop after the first object of such a file. Whole files
-    come as bytes, which is several times faster here than reading them as text.
+    A line break can't stand inside a JSON string, so a comma put where one stands
+    between a closing and an opening brace changes no document.
     """
-    content = spark.read.format("binaryFile").options(**files).load(path)
-    text = content.select(
-        F.ltrim(F.col("content").cast("string"), F.lit(BYTE_ORDER_MARK)).alias("value"),
-        F.col("_metadata.file_path").alias("path"),
+
+    def elements(json: Column) -> Column:
+        # Spark gives the part of an array that it could read; the mark is there if it read all.
+        listed = F.from_json(F.concat(F.lit("["), json, F.lit(f',"{END_MARK}"]')), "array<string>")
+        whole = F.try_element_at(listed, F.lit(-1)) == END_MARK
+        found = F.slice(listed, 1, F.size(listed) - 1)
+        return F.when(
+            whole,
+            F.when(
+                json.startswith("["), F.from_json(F.get(found, F.lit(0)), "array<string>")
+            ).otherwise(found),
+        )
+
+    json = strip(text)
+    found = F.coalesce(
+        elements(json), elements(F.regexp_replace(json, r"\}([ \t\r]*\n\s*)\{", "},$1{"))
+    )
+    # Nothing to parse is no document either; a null element is one that can't be used.
+    return F.when(F.size(found) > 0, F.transform(found, lambda x: F.coalesce(x, F.lit("null"))))
+
+
+def _documents_or_text(text: Column) -> Column:
+    """(document, text that is none) of each document in ``text``, or of the text itself."""
+    none = F.lit(None).cast("string")
+    found = F.transform(
+        split_documents(text), lambda x: F.struct(x.alias("document"), none.alias("unreadable"))
+    )
+    return F.coalesce(found, _unreadable(text))
+
+
+def _unreadable(text: Column) -> Column:
+    return F.array(F.struct(F.lit(None).cast("string").alias("document"), text.alias("unreadable")))
+
+
+def _is_squad(line: Column) -> Column:
+    """A line of its own as a document, and not a part of one that spans several lines."""
+    root = F.from_json(line, "players string, updatedAt string")
+    return split_documents(line).isNotNull() & root.isNotNull() & (
+        root.getField("players").isNotNull() | root.getField("updatedAt").isNotNull()
     )
-    head = strip(F.substring_index("value", "\n", 1))
-    lines = F.filter(F.split("value", "\n"), lambda line: strip(line) != "")
-    documents = F.when(head.startswith("{") & head.endswith("}"), lines).otherwise(F.array("value"))
-    parsed = text.select("path", F.explode(documents).alias("document")).select(
-        "path", "document", F.from_json("document", DOCUMENT, PERMISSIVE).alias("squad")
+
+
+def _documents_of_file(text: Column, by_line: bool) -> Column:
+    """All of a file's text, as documents; what can't be parsed is one of them too."""
+    found = _documents_or_text(text)
+    if not by_line:
+        return found
+    lines = F.filter(F.split(text, "\n"), lambda line: strip(line) != "")
+    each = F.flatten(F.transform(lines, _documents_or_text))
+    return F.when(split_documents(text).isNull() & F.exists(lines, _is_squad), each).otherwise(found)
+
+
+def _parsed(documents: DataFrame) -> DataFrame:
+    """Documents with their path, parsed; the text of those that can't be is kept."""
+    parsed = documents.select(
+        "path", "found.*", F.from_json("found.document", DOCUMENT, PERMISSIVE).alias("squad")
     )
-    unreadable = F.when(F.col("squad").isNull(), F.col("document"))
+    unreadable = F.when(F.col("squad").isNull(), F.coalesce("unreadable", "document"))
     return parsed.select("squad.*", unreadable.alias("unreadable"), "path").select(
         "id",
         "players",
@@ -48,29 +95,49 @@ def _parse_files(spark: SparkSession, path: str, files: dict) -> DataFrame:
     )
 
 
+def _scan_files(spark: SparkSession, path: str, files: dict, by_line: bool) -> DataFrame:
+    """Files as one text each, in one task each. They come as bytes, which is several
+    times faster here than reading them as text."""
+    content = spark.read.format("binaryFile").options(**files).load(path)
+    text = F.ltrim(F.col("content").cast("string"), F.lit(BYTE_ORDER_MARK))
+    return content.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.explode(_documents_of_file(text, by_line)).alias("found"),
+    )
+
+
+def _scan_lines(spark: SparkSession, path: str, files: dict) -> DataFrame:
+    lines = spark.read.options(**files).text(path)
+    text = F.ltrim(F.col("value"), F.lit(BYTE_ORDER_MARK))
+    return lines.where(strip(text) != "").select(
+        F.col("_metadata.file_path").alias("path"),
+        F.explode(_documents_or_text(text)).alias("found"),
+    )
+
+
 def scan_squad_json(
     spark: SparkSession, path: str, layout: str = "auto", glob: str = "*.json"
 ) -> DataFrame:
     """Squad documents below ``path`` with ``team``, ``season`` and ``source_file``.
 
-    ``auto``      every file is one document, in one line or many, or one per line
-    ``document``  every file is one document, read by Spark's multi-line reader
-    ``lines``     one document per line; the only layout that splits large files
+    ``document``  a file is one document, an array of them, or several one after another
+    ``auto``      the same; a file that isn't, is read line by line if a line is a document
+    ``lines``     every line is a document or an array; the only layout that splits large files
 
-    The schema is given, so nothing is read twice to infer it. A document that
-    cannot be parsed stays as a row, with its text in ``_corrupt_record``.
+    What a text is, parsing decides. The schema is given, so nothing is read twice to
+    infer it. Text that can't be parsed stays as a row, in ``_corrupt_record``: a file or line
+    with anything beside its documents, or two of them on a line, is such a text as a whole.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}: use one of {', '.join(LAYOUTS)}")
     files = {"recursiveFileLookup": True, "pathGlobFilter": glob}
-    if layout == "auto":
-        raw = _parse_files(spark, path, files)
+    if layout == "lines":
+        documents = _scan_lines(spark, path, files)
     else:
-        reader = spark.read.schema(DOCUMENT).options(**files).options(**PERMISSIVE)
-        documents = reader.option("multiLine", layout == "document").json(path)
-        raw = documents.select("*", F.col("_metadata.file_path").alias("path"))
+        documents = _scan_files(spark, path, files, by_line=layout == "auto")
     return (
-        raw.withColumn("source_file", decode_path("path"))
+        _parsed(documents)
+        .withColumn("source_file", decode_path("path"))
         .withColumns(
             {
                 "team": team_from_file_name(file_name_of("source_file")),

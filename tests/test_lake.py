@@ -1,10 +1,11 @@
 """Staging to gold on the hand-written squads, with answers worked out by hand."""
 
+import json
 from statistics import correlation
 
 import pytest
 
-from squadlake import sources
+from squadlake import fixed_values, sources
 from squadlake.plans import (
     GOLD_TABLES,
     Floors,
@@ -17,7 +18,7 @@ from squadlake.plans import (
     run_silver,
 )
 from squadlake.sources import schemas
-from tests.squad_files import SQUADS, write_staging
+from tests.squad_files import ANN, BO, CY, SQUADS, player, write_staging
 
 M = 1_000_000
 
@@ -174,11 +175,11 @@ def test_position_analysis(spark, lake):
 
 def test_age_groups_analysis(spark, lake):
     assert read(spark, lake, "market_correlations", "age_groups_analysis", "*") == [
-        (2010, "24-27", 5 * M, 2), (2010, "28-31", 6 * M, 1), (2010, "Over 31", 2 * M, 1),
-        (2010, "Under 20", 2 * M, 1), (2011, "20-23", 3 * M, 1), (2011, "24-27", 4.5 * M, 2),
-        (2012, "28-31", 7 * M, 1), (2013, "28-31", 6 * M, 2), (2014, "20-23", 18.5 * M, 2),
-        (2014, "24-27", 16.5 * M, 2), (2014, "28-31", 14.5 * M, 2),
-        (2014, "Over 31", 10.75 * M, 4), (2014, "Under 20", 15 * M, 2),
+        (2010, "Under 20", 2 * M, 1), (2010, "24-27", 5 * M, 2), (2010, "28-31", 6 * M, 1),
+        (2010, "Over 31", 2 * M, 1), (2011, "20-23", 3 * M, 1), (2011, "24-27", 4.5 * M, 2),
+        (2012, "28-31", 7 * M, 1), (2013, "28-31", 6 * M, 2), (2014, "Under 20", 15 * M, 2),
+        (2014, "20-23", 18.5 * M, 2), (2014, "24-27", 16.5 * M, 2), (2014, "28-31", 14.5 * M, 2),
+        (2014, "Over 31", 10.75 * M, 4),
     ]
 
 
@@ -325,3 +326,36 @@ def test_command_line_builds_and_publishes_the_same_lake(spark, lake, tmp_path):
 def test_an_error_in_one_table_ends_the_run(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         run_gold(spark, Lake(str(tmp_path)))
+
+
+def test_players_of_a_damaged_document_are_rejected_for_it(spark, tmp_path):
+    """A field of the wrong type: Spark gives the rest of the document, the counts and tables agree."""
+    from squadlake.plans import lake_quality, run_reports
+
+    folder = tmp_path / "in" / "Season_2011"
+    folder.mkdir(parents=True)
+    players = json.dumps([player("a", *ANN, "20", "€1m", nationality="X"), player("b", *BO, "20", "€1m")])
+    (folder / "Quay_1_2011.json").write_text(f'{{"id": "1", "players": {players}}}', encoding="utf-8")
+    good = json.dumps([player("c", *CY, "20", "€1m")])
+    (folder / "Mill_1_2011.json").write_text(f'{{"id": "2", "players": {good}}}', encoding="utf-8")
+    lake = Lake(str(tmp_path / "lake"))
+    run_bronze(spark, str(tmp_path / "in"), lake)
+    assert [r.players_id for r in run_silver(spark, lake).collect()] == ["c"]
+    reasons = sources.scan_quarantine(spark, lake.quarantine).select("players_id", "reject_reason").collect()
+    assert {r.reject_reason for r in reasons} <= {"document"}
+    counts = {(r.layer, r.team): (r.rows_in, r.rows_out, r.rejected) for r in lake_quality(spark, lake).collect()}
+    assert counts["bronze", "Quay"] == (1, 0, 1) and counts["silver", "Mill"] == (1, 1, 0)
+    assert counts.get(("silver", "Quay"), (0, 0, 0))[1] == 0
+    run_reports(spark, lake)
+    totals = spark.read.parquet(lake.report("run_totals")).first()
+    assert (totals.teams, totals.files, totals.present, totals.missing) == (2, 2, 2, 0)
+    assert spark.read.parquet(lake.report("coverage")).count() == 2
+    assert spark.read.parquet(lake.report("quality")).count() >= 2
+
+
+def test_age_groups_are_read_by_age(spark, lake):
+    groups = [r[0] for r in read(spark, lake, "market_correlations", "age_groups_analysis", "age_group")]
+    labels = [name for name, _, _ in fixed_values.AGE_BANDS]
+    orders = [labels.index(g) if g in labels else len(labels) for g in groups if g]
+    seasons = [r[0] for r in read(spark, lake, "market_correlations", "age_groups_analysis", "season")]
+    assert list(zip(seasons, orders)) == sorted(zip(seasons, orders))

@@ -126,6 +126,75 @@ def test_unreadable_documents_stay_visible(spark, tmp_path):
     ]
 
 
+def indented(*squads):
+    return "\n".join(json.dumps(json.loads(s), indent=2) for s in squads)
+
+
+THREE = json.dumps(squad("3", "d"))
+SHAPES = {
+    "blank_first": (f"\n{ONE}\n{TWO}", ["1", "2"], 0),
+    "indented": (indented(ONE, TWO), ["1", "2"], 0),
+    "array": (f"[{ONE},\n {TWO}]", ["1", "2"], 0),
+    "broken_before_comma": ('{"id": "4", "players": [{"name": "x"}\n,{"name": "y"}]}', ["4"], 0),
+    "brace_in_text": (f"{ONE}\n" + json.dumps(squad("5", "} {", "}\n{")), ["1", "5"], 0),
+    "garbage_after": (f"{ONE} rubbish", [], 1),
+    "same_line": (f"{ONE}{TWO}", [], 1),
+}
+
+
+@pytest.mark.parametrize("layout", ["auto", "document"])
+@pytest.mark.parametrize("shape", SHAPES)
+def test_no_document_is_lost(spark, tmp_path, layout, shape):
+    text, ids, corrupt = SHAPES[shape]
+    df = sources.scan_squad_json(spark, staged(tmp_path, A=text), layout)
+    got = df.select("id", "_corrupt_record", F.size("players")).collect()
+    assert sorted(r.id for r in got if r.id) == ids
+    assert [r._corrupt_record for r in got if not r.id] == [text] * corrupt
+
+
+def test_a_broken_line_costs_itself_alone(spark, tmp_path):
+    broken = '{"id": "9", "players": [{'
+    for layout in ("auto", "lines"):
+        folder = tmp_path / layout
+        folder.mkdir()
+        df = sources.scan_squad_json(spark, staged(folder, A=f"{broken}\n{TWO}\n{THREE}"), layout)
+        got = sorted((r.id or "", r._corrupt_record) for r in df.collect())
+        assert got == [("", broken), ("2", None), ("3", None)]
+
+
+def test_two_documents_on_a_line_stay_visible(spark, tmp_path):
+    path = staged(tmp_path, A=f"{ONE}{TWO}\n[{TWO},{THREE}]")
+    got = sorted((r.id or "", r._corrupt_record) for r in sources.scan_squad_json(spark, path, "lines").collect())
+    assert got == [("", ONE + TWO), ("2", None), ("3", None)]
+
+
+@pytest.mark.parametrize(
+    ("one", "other", "same"),
+    [
+        ("s3a://b/x", "s3://b/x", True),
+        ("s3a://b/x", "s3n://b/x/y", True),
+        ("s3a://b/x", "s3a://c/x", False),
+        ("/a/../a/x", "/a/x", True),
+        ("file:/a/x", "/a/./x", True),
+        ("file:///a/x", "/a/xy", False),
+        ("hdfs://nn:8020/x", "/x", False),
+    ],
+)
+def test_places_are_compared_as_their_stores_name_them(spark, one, other, same):
+    assert sources.layers._overlap(spark, one, other) is same
+
+
+def test_the_default_store_is_the_same_with_and_without_its_name(spark):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "hdfs://nn:8020")
+    try:
+        assert sources.layers._overlap(spark, "hdfs://nn:8020/x", "/x/y")
+        assert not sources.layers._overlap(spark, "hdfs://other:8020/x", "/x")
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
 def test_layout_is_checked(spark, tmp_path):
     with pytest.raises(ValueError, match="unknown layout"):
         sources.scan_squad_json(spark, str(tmp_path), "other")
