@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from squadlake.llm.common import findable
+
 SCALE = 64
 ROWS = 8_192
 QUERIES = 1_024
@@ -102,8 +104,10 @@ def block_search(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> Iterator[
         own = int(np.searchsorted(ids, query, "right") - np.searchsorted(ids, query, "left"))
         found = index.top(slices, k + own)
         found = found[ids[found] != query]
-        bits = np.stack([(s[found >> 6] >> (found & 63).astype(np.uint64)) & np.uint64(1) for s in slices])
-        score = base + (bits.astype(np.int64) << np.arange(len(slices))[:, None]).sum(axis=0)
+        score = np.full(len(found), base, np.int64)
+        for weight, s in enumerate(slices):
+            bits = (s[found >> 6] >> (found & 63).astype(np.uint64)) & np.uint64(1)
+            score += bits.astype(np.int64) << weight
         # Rows on the boundary are told apart by their id; the sort is stable and ids ascend.
         best = np.argsort(-score, kind="stable")[:k]
         yield pd.DataFrame({"query_id": query, "vec_id": ids[found[best]], "score": score[best]})
@@ -137,7 +141,7 @@ def top_inner_products(vectors: DataFrame, every: int = 20, k: int = 20, rows: i
     query (the least vector, if they differ), other columns are
     ignored, an empty table gives an empty result.
     """
-    ints = quantised(vectors).withColumn("part", F.size("v"))
+    ints = quantised(findable(vectors)).withColumn("part", F.size("v"))
     count = ints.count()
     blocks, groups = -(-count // rows) or 1, -(-count // (every * queries)) or 1
     dealt = F.monotonically_increasing_id()  # even also if most rows are equal

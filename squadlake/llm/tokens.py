@@ -88,9 +88,10 @@ class WordEncoder:
 
     def _add(self, new: list[str]) -> None:
         # Words with a space before them can be encoded in one call: each begins with the one
-        # token that has the space.
-        spaced = [w for w in new if w[:1] == " "]
-        bare = [w for w in new if w[:1] != " "]
+        # token that has the space. Not so if white space ends the word, as at a text's end.
+        together = [w[:1] == " " and not w[-1].isspace() for w in new]
+        spaced = [w for w, yes in zip(new, together) if yes]
+        bare = [w for w, yes in zip(new, together) if not yes]
         ids = np.array(self.quick.encode_ordinary("".join(spaced)), np.uint32)
         begins = np.flatnonzero(self.opens[ids]) if len(ids) else np.zeros(0, np.int64)
         assert len(begins) == len(spaced)
