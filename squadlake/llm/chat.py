@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from squadlake.llm.common import whole
+from squadlake.llm.common import findable, whole
 from squadlake.llm.tokens import encoding, token_bytes
 
 #: Ids above the vocabulary, which no text encodes to: a turn begins, its text begins, it ends.
@@ -83,7 +83,7 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     other columns are ignored, an empty table gives an empty result.
     """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    turns = conversations.select(
+    turns = findable(conversations).select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn"),
         whole(F.col("role")).alias("role"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,27 @@ def kept(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+#: Rows that Python workers get at once: texts can be long, and a batch is held off the heap.
+BATCH_ROWS = 1_000
+
+
+def findable(frame: DataFrame) -> DataFrame:
+    """``frame``, with this package's folder on the path of Python workers, and batches of BATCH_ROWS.
+
+    On a cluster the package is installed or sent along; on one machine workers look for it where the
+    driver found it, whatever folder it was started in.
+    """
+    conf = frame.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    environment = frame.sparkSession.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return frame
+
+
 def whole(text: Column) -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(text, F.lit(""))

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from squadlake.llm.common import whole
+from squadlake.llm.common import findable, whole
 from squadlake.llm.tokens import token_bytes, word_encoder
 
 WINDOW = 1_024
@@ -177,7 +177,7 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, with_ids: bool = True)
         out.extend(packer.flush(last=True))
         yield pa.RecordBatch.from_pylist(out, _ARROW)
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).alias("text"))
+    narrow = findable(docs).select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).alias("text"))
     return narrow.mapInArrow(pack, PIECES)
 
 

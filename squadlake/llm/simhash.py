@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squadlake.llm.common import LOWER, UPPER, kept, whole
+from squadlake.llm.common import LOWER, UPPER, findable, kept, whole
 from squadlake.llm.components import components
 
 SHINGLE = 3
@@ -64,7 +64,7 @@ def with_fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             )
 
     text = whole(F.col("text"))
-    narrow = docs.select(
+    narrow = findable(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(text).alias("text_hash"),
         F.encode(text, "utf-8").alias("data"),
@@ -193,7 +193,7 @@ def link_fingerprints(prints: DataFrame, radius: int = DISTANCE, tree: int = TRE
     """
     if radius > 2:
         raise ValueError("three parts find distances up to 2")
-    members, masks = prints.select("fingerprint").distinct().withColumn("mask", F.lit(0).cast("long")), [0]
+    members, masks = findable(prints).select("fingerprint").distinct().withColumn("mask", F.lit(0).cast("long")), [0]
     links = None
     while True:
         members = kept(_refine(members, masks))

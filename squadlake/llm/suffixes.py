@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from squadlake.llm.common import kept, whole
+from squadlake.llm.common import findable, kept, whole
 
 #: A passage counts from this many words on.
 LEAST = 50
@@ -130,7 +130,7 @@ def positions(docs: DataFrame) -> DataFrame:
 
 def _narrow(docs: DataFrame) -> DataFrame:
     text = whole(F.col("text"))
-    return docs.select(F.xxhash64("doc_id", text).alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    return findable(docs).select(F.xxhash64("doc_id", text).alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
 
 
 def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

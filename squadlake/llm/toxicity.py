@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from squadlake.llm.common import is_held_out, kept, whole
+from squadlake.llm.common import findable, is_held_out, kept, whole
 
 #: Labelled documents the classifier is fitted on, the first by a hash of their id.
 TRAIN_DOCUMENTS = 12_000
@@ -209,7 +209,7 @@ def training_documents(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOC
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    return docs.select("doc_id", whole(F.col("text")).alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    return findable(docs).select("doc_id", whole(F.col("text")).alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
 
 def labelled_segments(trained: DataFrame) -> tuple[list[str], list[str], np.ndarray]:
@@ -286,7 +286,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     def give(batch: pa.RecordBatch, highest: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(shared.value.score(highest))], ["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).alias("text")).mapInArrow(
+    return findable(docs).select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).alias("text")).mapInArrow(
         lambda batches: _highest(batches, shared.value, give), "doc_id long, score double"
     )
 
