@@ -104,9 +104,12 @@ def words_hit(spans: Column) -> Column:
     )
 
 
-def mark_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with a struct ``contamination`` (n_words, n_hit, items, contaminated) beside its columns.
+def mark_contaminated(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, carried: list[str] | None = None
+) -> DataFrame:
+    """``row`` and ``contamination`` (n_words, n_hit, items, contaminated), both structs.
 
+    ``row`` has all columns of ``docs``, or those ``carried``: only these move with the marks.
     A document is contaminated if any word is hit and the words hit are at least one in
     SHARE. A null text has no words; items with a null id count under the id ``null``; repeated
     rows are marked alike; a table without rows, on either side, marks nothing.
@@ -115,7 +118,7 @@ def mark_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -
         F.col("text_key").alias("_text_key"), words_hit(F.col("spans")).alias("_hit"), F.col("items").alias("_items")
     )
     marked = docs.select(
-        F.struct(*docs.columns).alias("row"),
+        F.struct(*(docs[c] for c in carried or docs.columns)).alias("row"),
         text_key(docs["text"]).alias("_text_key"),
         F.size(words(docs["text"])).cast("long").alias("n_words"),
     ).join(found, "_text_key", "left")
@@ -138,7 +141,7 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW)
 
 
 def decontamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
-    marked = mark_contaminated(docs.select("doc_id", "text"), items)
+    marked = mark_contaminated(docs.select("doc_id", "text"), items, carried=["doc_id"])
     found = F.col("contamination")
     return marked.select(
         F.col("row.doc_id").alias("doc_id"),
