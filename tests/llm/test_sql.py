@@ -1,0 +1,20 @@
+"""Queries that SQL can express, against their SQL; all queries over a small table."""
+
+import pytest
+
+from squadlake.llm.queries import QUERIES, SQL
+from tests.compare import assert_same, duckdb_over
+
+SF_DIR = "/root/testdata/sf0.001"
+NATIVE = ("op6_secret_scans", "op8_sharding", "op10_decontamination")
+
+
+@pytest.mark.parametrize("name", SQL)
+def test_query_matches_sql(spark, name):
+    assert_same(QUERIES[name](spark, SF_DIR), duckdb_over(SF_DIR), SQL[name])
+
+
+@pytest.mark.parametrize("name", NATIVE)
+def test_native_queries_run_no_python(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
