@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from functools import cache
 
@@ -47,4 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 @cache
 def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"squadlake-{application}-")
+    """Made once for a local application, and removed with all it holds when Python ends."""
+    folder = tempfile.mkdtemp(prefix=f"squadlake-{application}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
