@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from squadlake.llm.common import findable, kept, whole
+from squadlake.llm.common import findable, kept, small_side, whole
 
 #: A passage counts from this many words on.
 LEAST = 50
@@ -252,8 +252,8 @@ def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``row_key, doc_id, begin, end``: stretches of at least LEAST words that stand elsewhere too.
 
-    1. A position whose gram no other has is dropped; of equal ones with equal words
-       around, counting is enough: the match reaches as far as is looked.
+    1. A position whose gram no other has is dropped, after a count of grams alone; of equal ones
+       with equal words around, counting is enough: the match reaches as far as is looked.
     2. One of each that differs in the words around gives its suffix. Suffixes are sorted over all
        tasks by range, so that a common passage is split between tasks, and compared
        with their neighbours, then extended to the left.
@@ -262,7 +262,9 @@ def matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     Each position looks LEAST words to either side; along a longer passage lie so many
     positions that their matches cover it.
     """
-    found = kept(positions(docs))
+    all_positions = positions(docs)
+    repeated = all_positions.groupBy("gram").count().where(F.col("count") > 1).select("gram")
+    found = kept(all_positions.join(repeated, "gram"))
     kinds = found.groupBy("gram", "around").agg(F.count("*").alias("rows"), F.min_by(F.struct("row_key", "position", "left", "right"), F.struct("row_key", "position")).alias("one"))
     grams = kinds.groupBy("gram").agg(F.count("*").alias("kinds"))
     kinds = kept(kinds.join(grams.where(F.col("kinds") > 1), "gram", "left").where((F.col("rows") > 1) | F.col("kinds").isNotNull()))
@@ -272,7 +274,10 @@ def matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
         .groupBy(F.col("one.row_key").alias("row_key"))
         .agg(F.collect_list(F.struct("gram", "around", "one.position", "one.left", "one.right")).alias("wanted"))
     )
-    texts = _narrow(docs).select("row_key", "text").join(wanted, "row_key").select("text", "wanted")
+    # Only their texts move, if there are few enough to say so beforehand.
+    wanted = kept(wanted)
+    those = _narrow(docs).join(small_side(wanted.select("row_key")), "row_key", "left_semi")
+    texts = those.select("row_key", "text").join(wanted, "row_key").select("text", "wanted")
     contexts = kept(texts.mapInArrow(_contexts, "gram long, around long, suffix string, before string").dropDuplicates(["gram", "around"]))
     ordered = contexts.repartitionByRange("gram", "suffix", "before").sortWithinPartitions("gram", "suffix", "before")
     compared = kept(ordered.mapInArrow(_neighbours, NEIGHBOURS))
