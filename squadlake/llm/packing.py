@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from squadlake.llm.common import findable, whole
-from squadlake.llm.tokens import token_bytes, word_encoder
+from squadlake.llm.tokens import added_tokens, token_bytes, word_encoder
 
 WINDOW = 1_024
 SEPARATOR = 0
@@ -73,7 +73,9 @@ def choose_cuts(points: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -
 
 @cache
 def _ends_sentence() -> np.ndarray:
-    return np.array([t.rstrip().endswith((b".", b"!", b"?")) or t.endswith(b"\n") for t in token_bytes()])
+    table = [t.rstrip().endswith((b".", b"!", b"?")) or t.endswith(b"\n") for t in token_bytes()]
+    # Added tokens have ids above the vocabulary and end no sentence.
+    return np.array(table + [False] * (max(added_tokens().values(), default=-1) + 1 - len(table)))
 
 
 def cut_points(ids: np.ndarray, doc_ends: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +159,8 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, with_ids: bool = True)
     Each partition of ``docs`` is packed on its own and in its order, with no shuffle; only the
     last window of a partition is filled as it comes. Documents may be cut, at a price: see
     ``choose_cuts``. A sequence takes at most ``window`` tokens. A document's tokens are those of its text and SEPARATOR after them,
-    so a null or empty text has one. Null ids are kept, repeated rows are documents of their own,
+    so a null or empty text has one. The text's are those of ``tokenizers``, in which an added token such as
+    ``<|endoftext|>`` is one id. Null ids are kept, repeated rows are documents of their own,
     an empty table gives an empty result, other columns are ignored. ``input_ids`` is null
     without ``with_ids``.
     """
@@ -169,7 +172,7 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, with_ids: bool = True)
         for batch in batches:
             for some in range(0, batch.num_rows, 256):
                 part = batch.slice(some, 256)
-                for doc_id, ids in zip(part["doc_id"].to_pylist(), encoder.encode(part["text"].to_pylist())):
+                for doc_id, ids in zip(part["doc_id"].to_pylist(), encoder.encode_with_added(part["text"].to_pylist())):
                     out.extend(packer.add(doc_id, np.append(ids, np.uint32(SEPARATOR))))
                     if len(out) > 4_096:
                         yield pa.RecordBatch.from_pylist(out, _ARROW)

@@ -9,8 +9,11 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import tiktoken
+from tokenizers import Tokenizer
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The same vocabulary for ``tokenizers``, with the tokens added to it.
+WITH_ADDED = "byte_bpe_50k.json"
 #: Words whose ids a worker keeps at most.
 KEPT_WORDS = 400_000
 
@@ -39,6 +42,17 @@ def token_bytes(path: str | None = None) -> list[bytes]:
     return table
 
 
+@cache
+def tokenizer() -> Tokenizer:
+    return Tokenizer.from_file(public_tokenizers.path(WITH_ADDED))
+
+
+@cache
+def added_tokens() -> dict[str, int]:
+    """Texts that are one token wherever they stand, ``<|endoftext|>`` for one, and their ids."""
+    return {token.content: number for number, token in tokenizer().get_added_tokens_decoder().items()}
+
+
 class WordEncoder:
     """Encodes many texts by encoding each of their words once.
 
@@ -86,6 +100,14 @@ class WordEncoder:
             out.append(self.flat[np.arange(ends[-1]) + np.repeat(first - ends + size, size)])
         return out
 
+    def encode_with_added(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text by ``tokenizers``: texts that hold an added token are encoded there."""
+        holds = [any(a in t for a in added_tokens()) for t in texts]
+        out = self.encode(["" if h else t for t, h in zip(texts, holds)])
+        for n in np.flatnonzero(holds):
+            out[n] = np.array(tokenizer().encode(texts[n], add_special_tokens=False).ids, np.uint32)
+        return out
+
     def _add(self, new: list[str]) -> None:
         # Words with a space before them can be encoded in one call: each begins with the one
         # token that has the space. Not so if white space ends the word, as at a text's end.

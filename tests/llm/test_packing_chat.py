@@ -41,6 +41,16 @@ def test_ids_of_any_text(texts):
     assert [x.tolist() for x in encoder.encode(texts)] == [encoder.encoding.encode_ordinary(t) for t in texts]
 
 
+def test_an_added_token_is_one_id(documents):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    texts = ["a <|endoftext|> b", "One.<|endoftext|>", "<|endoftext|>" * 3 + "\n\n x  ", "<|endoftext| >", "plain"]
+    assert ids(texts[0]) == [64, 220, 50256, 275]
+    rows = packing.pack_documents(documents(texts)).collect()
+    assert {r.doc_id: r.input_ids for r in rows} == {n: [*ids(t), packing.SEPARATOR] for n, t in enumerate(texts)}
+    assert check_pieces(rows, dict(enumerate(texts)), ids) < 100
+
+
 def cost_of(cuts, price, window):
     start = total = 0
     for cut in cuts:
