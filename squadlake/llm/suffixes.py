@@ -257,8 +257,9 @@ def matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     2. One of each that differs in the words around gives its suffix. Suffixes are sorted over all
        tasks by range, so that a common passage is split between tasks, and compared
        with their neighbours, then extended to the left.
-    3. A neighbour need not be the one with which the left side agrees too. Suffixes without a
-       match so far are looked up by all stretches of LEAST words that hold their gram.
+    3. A neighbour need not be the one with which the left side agrees too. Where a gram has more
+       than two suffixes and one could match further than it does so far, all of them are looked up
+       by all stretches of LEAST words that hold the gram.
     Each position looks LEAST words to either side; along a longer passage lie so many
     positions that their matches cover it.
     """
@@ -285,8 +286,18 @@ def matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
         _over_borders(compared.where(F.col("edge").isNotNull()))
     )
     near = kept(near.where(F.col("matched_right") > 0).distinct())
-    unmet = contexts.join(near.select("gram", "around").distinct(), ["gram", "around"], "left_anti")
-    near_ones = contexts.join(unmet.select("gram").distinct(), "gram", "left_semi")
+    # Of two suffixes each has met the other. Of more, one is left out only where its matches
+    # reach as far as stretches that hold the gram can.
+    several = contexts.groupBy("gram").count().where(F.col("count") > 2).select("gram")
+    reached = alike.unionByName(near).groupBy("gram", "around").agg(
+        F.max("matched_left").alias("to_left"), F.max("matched_right").alias("to_right")
+    )
+    size = lambda c: F.when(F.col(c) == "", 0).otherwise(F.size(F.split(c, " ")))
+    short = contexts.join(reached, ["gram", "around"], "left").where(
+        (F.coalesce("to_left", F.lit(-1)) < F.least(size("before"), F.lit(LEAST - GRAM)))
+        | (F.coalesce("to_right", F.lit(-1)) < size("suffix"))
+    )
+    near_ones = contexts.join(short.select("gram").distinct().join(several, "gram", "left_semi"), "gram", "left_semi")
     stretches = kept(near_ones.mapInArrow(_windows, "gram long, around long, offset int, window long"))
     # By gram as well: one stretch can hold several.
     same = ["gram", "offset", "window"]

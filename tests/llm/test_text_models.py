@@ -121,6 +121,19 @@ def test_passages_are_brute_force(spark, documents, odd, empty):
     assert suffixes.repeated_passages(empty).count() == 0
 
 
+def test_passages_of_templates_are_brute_force(spark, documents):
+    """Heads and tails vary about one core: most of the pages with one head aren't neighbours in suffix order."""
+    pick = random.Random(5)
+    new = lambda n: [f"v{pick.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for size in (40, 60, 60, 60):
+        heads, core = [new(15) for _ in range(10)], new(size)
+        texts += [" ".join([*pick.choice(heads), *core, *new(30)]) for _ in range(60)]
+    docs = documents(texts)
+    got = sorted((str(r.doc_id), r.begin, r.end) for r in suffixes.repeated_passages(docs).collect())
+    assert got == plain_passages(enumerate(texts))
+
+
 def test_pipeline_keeps_columns_and_obeys_each_stage(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     columns = docs.columns
