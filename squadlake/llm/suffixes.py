@@ -223,7 +223,9 @@ def _over_borders(edges: DataFrame) -> DataFrame:
         held, out = None, []
         for batch in batches:
             for row in batch.to_pylist():
-                if held is not None and (both := _matched(held, row)) != (0, 0):
+                # A task of one suffix gives it under both its edges.
+                other = held is not None and held["edge"] // 2 != row["edge"] // 2
+                if other and (both := _matched(held, row)) != (0, 0):
                     out += [{"gram": r["gram"], "around": r["around"], "matched_left": both[0], "matched_right": both[1]} for r in (held, row)]
                 held = row
         yield pa.RecordBatch.from_pylist(out, pa.schema([_NEIGHBOUR.field(i) for i in (0, 1, 5, 6)]))

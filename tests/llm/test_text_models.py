@@ -134,6 +134,16 @@ def test_passages_of_templates_are_brute_force(spark, documents):
     assert got == plain_passages(enumerate(texts))
 
 
+def test_a_suffix_is_not_its_own_neighbour(spark):
+    """A task with one suffix gives it under both its edges."""
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, 1, words, "", 0), (1, 1, words, "", 1), (1, 2, words + " x", "", 2), (2, 3, words, "", 5)]
+    edges = spark.createDataFrame(rows, "gram long, around long, suffix string, before string, edge int")
+    found = suffixes._over_borders(edges).collect()
+    assert sorted((r.around, r.matched_right) for r in found) == [(1, 60), (2, 60)]
+    assert suffixes._over_borders(edges.where("edge < 2")).count() == 0
+
+
 def test_pipeline_keeps_columns_and_obeys_each_stage(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     columns = docs.columns
