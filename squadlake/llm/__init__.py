@@ -10,6 +10,9 @@
 ``sharding``         contiguous shards of equal size over groups of equal texts
 ``search``           exact inner-product search by bit-sliced indexes
 ``decontamination``  benchmark passages in documents
+``fill_in_middle``   texts rearranged around marks in columnar batches
+``token_files``      token ids as flat files with 64-bit offsets
+``centroids``        vectors clustered by exact nearest centroids
 
 Nothing outside this package imports it.
 """

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squadlake.llm import chat, decontamination, leaks, packing, quality, search, sharding, simhash, suffixes, toxicity
+from squadlake.llm import (
+    centroids,
+    chat,
+    decontamination,
+    fill_in_middle,
+    leaks,
+    packing,
+    quality,
+    search,
+    sharding,
+    simhash,
+    suffixes,
+    token_files,
+    toxicity,
+)
 from squadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,9 +68,35 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.fill_in_middle_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op3_chat_formatting, op8_sharding, op9_top_k_search, op10_decontamination, op6_secret_scans, op1_simhash_near_dedup, op7_packing, op5_quality_classifier, op4_toxicity, op2_suffix_array_dedup)
+    for query in (
+        op3_chat_formatting,
+        op8_sharding,
+        op9_top_k_search,
+        op10_decontamination,
+        op6_secret_scans,
+        op1_simhash_near_dedup,
+        op7_packing,
+        op5_quality_classifier,
+        op4_toxicity,
+        op2_suffix_array_dedup,
+        op11_fill_in_middle,
+        op12_token_files,
+        op13_centroid_clustering,
+    )
 }
 
 SQL: dict[str, str] = {
@@ -64,4 +104,6 @@ SQL: dict[str, str] = {
     "op6_secret_scans": leaks.SECRETS_SQL,
     "op9_top_k_search": search.SEARCH_SQL,
     "op10_decontamination": decontamination.DECONTAMINATION_SQL,
+    "op11_fill_in_middle": fill_in_middle.FILL_IN_MIDDLE_SQL,
+    "op13_centroid_clustering": centroids.CENTROIDS_SQL,
 }
