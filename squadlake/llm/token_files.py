@@ -21,43 +21,113 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from squadlake.llm.common import findable, whole
-from squadlake.llm.tokens import WordEncoder, tokenizer
+from squadlake.llm.tokens import added_tokens, token_bytes, tokenizer
 from squadlake.session import shared_folder
 
 END_ID = 0
+#: White space in the sense of the vocabulary's pattern.
+WHITE_SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\pZ]"
+#: Words whose ids a worker keeps at most, and words given to the library as one text.
+KEPT_WORDS, JOINED_WORDS = 800_000, 200
 #: Documents encoded at once, and ids a reader holds at once.
-TEXTS, IDS = 256, 1 << 20
+TEXTS, IDS = 1_024, 1 << 20
 
 PARTS = "part int, name string, documents long, null_ids long, tokens long, width int"
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long, input_ids array<long>"
 
 
-class LibraryEncoder(WordEncoder):
-    """Words and whole texts encoded by ``tokenizers`` alone."""
+class LibraryWords:
+    """Encodes batches of texts by ``tokenizers``, each distinct word once.
 
-    def __init__(self):
-        super().__init__()
-        self.encoding = self.quick = self
+    No token reaches over a space that stands alone before a word, so there texts may be cut without changing ids.
+    Texts with two white spaces in a row, or with an added token, are encoded whole.
+    """
 
-    @staticmethod
-    def encode_ordinary(text: str) -> list[int]:
-        return tokenizer().encode(text, add_special_tokens=False).ids
+    def __init__(self):
+        self.opens = np.array([t.startswith(b" ") for t in token_bytes()])
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text."""
+        alone = pc.match_substring_regex(texts, WHITE_SPACE + "{2}")
+        for token in added_tokens():
+            alone = pc.or_(alone, pc.match_substring(texts, token))
+        words = pc.split_pattern(texts.filter(pc.invert(alone)), " ")
+        coded = pc.list_flatten(words).dictionary_encode()
+        begins = words.offsets.to_numpy()[:-1]
+        spaced = pc.binary_join_element_wise(" ", coded.dictionary, "")
+        first = _strings(coded.dictionary.take(coded.indices.take(pa.array(begins))))
+        if len(self.index) > KEPT_WORDS:
+            self.clear()
+        # Only the last word of a text can end with white space, and then the library needs it alone.
+        ends_white = pc.match_substring_regex(spaced, WHITE_SPACE + "$")
+        self._add_joined(_strings(spaced.filter(pc.invert(ends_white))))
+        self._add_alone([*_strings(spaced.filter(ends_white)), *first])
+        at = self._found(_strings(spaced))[coded.indices.to_numpy()]
+        at[begins] = self._found(first)
+        start, size = self.starts[at], self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(size)
+        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)]
+        cut = iter(np.split(ids, ends[begins[1:] - 1]) if len(begins) else ())
+        return [
+            np.array(_library_ids(text.as_py()), np.uint32) if whole_text else next(cut)
+            for text, whole_text in zip(texts, alone.to_pylist())
+        ]
+
+    def _found(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+
+    def _add_joined(self, words: list[str]) -> None:
+        """Words with a space before them, many in a call: each begins with the one token that has the space."""
+        new = [w for w in words if w not in self.index]
+        ids, sizes = [], []
+        for some in (new[i : i + JOINED_WORDS] for i in range(0, len(new), JOINED_WORDS)):
+            ids.append(np.array(_library_ids("".join(some)), np.uint32))
+            opened = np.flatnonzero(self.opens[ids[-1]])
+            assert len(opened) == len(some)
+            sizes.append(np.diff(np.append(opened, len(ids[-1]))))
+        self._append(new, ids, sizes)
+
+    def _add_alone(self, words: list[str]) -> None:
+        new = list(dict.fromkeys(w for w in words if w not in self.index))
+        ids = [np.array(_library_ids(w), np.uint32) for w in new]
+        self._append(new, ids, [np.array([len(x) for x in ids], np.int64)])
+
+    def _append(self, words: list[str], ids: list[np.ndarray], sizes: list[np.ndarray]) -> None:
+        if words:
+            self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
+            self.flat = np.concatenate([self.flat, *ids])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))])
+
+
+def _strings(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def _library_ids(text: str) -> list[int]:
+    return tokenizer().encode_batch_fast([text], add_special_tokens=False)[0].ids
 
 
 @cache
-def _encoder() -> LibraryEncoder:
-    return LibraryEncoder()
+def _words() -> LibraryWords:
+    """One for each worker process."""
+    return LibraryWords()
 
 
-def byte_bpe(texts: list[str]) -> list[np.ndarray]:
+def byte_bpe(texts: pa.Array) -> list[np.ndarray]:
     """The ids of each text under the 50k byte-level vocabulary, added tokens as one id."""
-    return _encoder().encode_with_added(texts)
+    return _words().encode(texts)
 
 
 def id_width(ids: int) -> int:
@@ -90,7 +160,7 @@ def _one_task_each(spark: SparkSession, rows: DataFrame) -> DataFrame:
 def write_token_files(
     docs: DataFrame,
     folder: str,
-    encode: Callable[[list[str]], list[np.ndarray]] = byte_bpe,
+    encode: Callable[[pa.Array], list[np.ndarray]] = byte_bpe,
     end_id: int = END_ID,
     width: int | None = None,
 ) -> DataFrame:
@@ -115,9 +185,9 @@ def write_token_files(
                 if out is None:
                     system.create_dir(root, recursive=True)
                     out = system.open_output_stream(f"{root}/{name}.ids")
-                for ids in encode(some["text"].to_pylist()):
-                    out.write(np.append(ids, end_id).astype(stored).tobytes())
-                    lengths.append(len(ids) + 1)
+                encoded = [np.append(ids, end_id).astype(stored) for ids in encode(some["text"])]
+                out.write(np.concatenate(encoded).tobytes())
+                lengths.extend(map(len, encoded))
                 nulls += some["doc_id"].null_count
                 doc_ids.append(some["doc_id"].fill_null(0).to_numpy())
         if out is None:

@@ -101,6 +101,21 @@ def test_token_files_by_hand(spark, documents, tmp_path, width):
     assert [each[-1] for each in starts] == [p["base"] + p["tokens"] for p in parts]
 
 
+WORDS = ["a", " ", "  ", "\n", "\u00a0", "\u3000x", "\x1c", "it's", "1234", "Ünï", "漢字", "🙂", "\t", "...", "<|endoftext|>", "\x85", "Wort"]
+
+
+def test_words_encoded_once_give_the_ids_of_whole_texts(monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = ["", " ", *("".join(rng.choice(WORDS, rng.integers(1, 9))) for _ in range(3_000))]
+    texts += [" ".join(rng.choice(WORDS, rng.integers(1, 9))) for _ in range(3_000)]
+    expected = [e.ids for e in tokenizer().encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(token_files, "KEPT_WORDS", 40)
+    monkeypatch.setattr(token_files, "JOINED_WORDS", 7)
+    words = token_files.LibraryWords()
+    found = [x.tolist() for i in range(0, len(texts), 50) for x in words.encode(pa.array(texts[i : i + 50]))]
+    assert found == expected
+
+
 def test_repeated_ids_are_spread_and_gapless(spark, documents, tmp_path):
     texts = [f"text number {i % 7}" for i in range(400)]
     docs = documents(texts, [5] * 300 + list(range(100)))
