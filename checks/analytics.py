@@ -59,6 +59,19 @@ def top_n_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.top_n_overall(best, "max_value", 15, ["entity_id"])
 
 
+@check(
+    """
+select l_partkey, max_value, rank from (
+    select *, cast(row_number() over (order by max_value desc, l_partkey) as integer) as rank
+    from (select l_partkey, max(l_quantity) as max_value from lineitem group by l_partkey))
+where rank <= 40
+"""
+)
+def top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts by their largest order; quantities are few, so most parts tie."""
+    return ops.top_entities(table(spark, sf_dir, "lineitem"), ["l_partkey"], "l_quantity", 40)
+
+
 @check(FACT_SQL + "select entity, max(value) as max_value from fact group by entity")
 def max_per_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.max_per_entity(fact(spark, sf_dir), ["entity"], "value")
@@ -88,6 +101,31 @@ def corr_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check(
+    f"""
+select cast(year(o_orderdate) as integer) as season, round(corr(o_custkey, {cents("o_totalprice")}), 6) as price_correlation,
+       {sql_round("avg(" + cents("o_totalprice") + ")")} as avg_price
+from orders group by 1
+"""
+)
+def corr_from_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sub-totals by month and status, merged by year."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").alias("season"),
+        F.month("o_orderdate").alias("month"),
+        "o_orderstatus",
+        "o_custkey",
+        F.expr(cents("o_totalprice")).alias("price"),
+    )
+    moments = ops.moments_by_group(orders, ["season", "month", "o_orderstatus"], "o_custkey", "price")
+    merged = ops.corr_from_moments(
+        moments, ["season"], corr_alias="price_correlation", mean_alias="avg_price"
+    )
+    return merged.withColumns(
+        {"price_correlation": F.round("price_correlation", 6), "avg_price": F.round("avg_price", 2)}
+    )
+
+
 @check(
     FACT_SQL
     + f"""

@@ -14,7 +14,15 @@ from checks.rules import amount_sql, amount_text, by_remainder, club_name, club_
 from checks.tables import scratch
 from squadlake import sources
 from squadlake.functions import file_name_of, season_from_path, team_from_file_name
-from squadlake.plans import Lake, bronze_coverage, lake_quality, presentation, run_gold, run_silver
+from squadlake.plans import (
+    Lake,
+    bronze_coverage,
+    file_squads,
+    lake_quality,
+    presentation,
+    run_gold,
+    run_silver,
+)
 from squadlake.sources.schemas import PLAYER_FIELDS
 
 # Orders per squad document: order keys are unique, so no document grows beyond this.
@@ -85,7 +93,7 @@ def built_lake(spark: SparkSession, sf_dir: str) -> Lake:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILT:
         lake = Lake(scratch(spark, "lake"))
-        sources.write_bronze(squads(spark, sf_dir), lake.bronze)
+        file_squads(squads(spark, sf_dir), lake)
         run_silver(spark, lake)
         run_gold(spark, lake)
         _BUILT[key] = lake

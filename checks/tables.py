@@ -15,6 +15,10 @@ from squadlake.session import shared_folder
 from squadlake.sources.schemas import SQUAD
 
 
+def ddl(rows: DataFrame) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -253,9 +257,9 @@ def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FACT written by season, published to a second place and read from there with a floor."""
     written, published = scratch(spark, "fact"), scratch(spark, "fact-published")
     columns = fact(spark, sf_dir)
-    sources.write_layer(columns, written)
-    sources.publish_layer(spark, written, published)
-    stored = spark.read.schema(columns.schema).parquet(published)
+    sources.write_layer(columns, f"{written}/fact")
+    sources.publish_layer(spark, f"{written}/fact", f"{published}/fact", ddl(columns))
+    stored = sources.read_table(spark, published, "fact", ddl(columns))
     return sources.scan_season_range(stored, 1998).select(*columns.columns)
 
 

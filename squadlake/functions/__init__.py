@@ -13,7 +13,13 @@ from squadlake.functions.cleaning import (
     parse_market_value,
     strip,
 )
-from squadlake.functions.numeric import growth_percent, pearson, ratio_percent
+from squadlake.functions.numeric import (
+    co_moments,
+    corr_of_moments,
+    growth_percent,
+    pearson,
+    ratio_percent,
+)
 from squadlake.functions.paths import (
     decode_path,
     file_name_of,
@@ -29,6 +35,8 @@ __all__ = [
     "capitalize_first",
     "clean_club_name",
     "clean_status",
+    "co_moments",
+    "corr_of_moments",
     "decode_path",
     "default_status",
     "file_name_of",

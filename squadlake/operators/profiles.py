@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from squadlake import fixed_values as fixed
 from squadlake.functions.bands import Band, band, band_order
-from squadlake.functions.numeric import pearson, ratio_percent
+from squadlake.functions.numeric import co_moments, corr_of_moments, pearson, ratio_percent
 
 
 def _count(rows: str | None) -> Column:
@@ -40,6 +40,35 @@ def corr_by_group(
     return df.groupBy(*keys).agg(pearson(x, y).alias(corr_alias), F.avg(y).alias(mean_alias))
 
 
+def moments_by_group(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
+    """Sub-totals for ``corr_from_moments``: exact, and mergeable over any grouping of the keys."""
+    moments = [column.alias(name) for name, column in co_moments(x, y).items()]
+    return df.groupBy(*keys).agg(
+        F.count(y).alias("value_rows"), F.try_sum(F.col(y).cast("decimal(38, 0)")).alias("value_total"), *moments
+    )
+
+
+MOMENTS = ("pairs", "sum_x", "sum_y", "sum_xx", "sum_xy", "sum_yy")
+
+
+def corr_from_moments(
+    moments: DataFrame,
+    keys: Sequence[str],
+    value: str = "value_total",
+    rows: str = "value_rows",
+    corr_alias: str = "age_value_correlation",
+    mean_alias: str = "avg_market_value",
+) -> DataFrame:
+    """``corr_by_group`` from sub-totals: the columns of ``co_moments``, and total and number of the second value."""
+    merged = moments.groupBy(*keys).agg(
+        *[F.try_sum(name).alias(name) for name in MOMENTS],
+        F.try_divide(F.sum(value).cast("double"), F.sum(rows)).alias(mean_alias),
+    )
+    return merged.select(
+        *keys, corr_of_moments({name: F.col(name) for name in MOMENTS}).alias(corr_alias), mean_alias
+    )
+
+
 def profile_by_category(
     df: DataFrame,
     keys: Sequence[str],

@@ -1,9 +1,9 @@
 """Gold: the twelve analytic tables.
 
-Nine of them need only sub-totals, so silver is aggregated twice, by (season, team)
-and by (season, position, age band), and those two small tables are written and
-read back. Silver itself is read five times instead of twelve, each time only from
-the first season in use and with two to five columns.
+Ten of them need only sub-totals, so silver is aggregated twice, by (season, team)
+and by (season, position, age band), and those two small tables are written by season and
+read back; a run over some seasons makes sub-totals of these alone. The two rankings read silver from
+the first season in use, with three to five columns.
 
 Tables are stored unsorted, since files have no order to rely on when read;
 ``presentation`` sorts what a reader looks at.
@@ -11,7 +11,7 @@ Tables are stored unsorted, since files have no order to rely on when read;
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -20,24 +20,23 @@ from pyspark.sql import functions as F
 
 from squadlake import fixed_values as fixed
 from squadlake.functions.bands import age_band, band_order
+from squadlake.functions.numeric import co_moments
 from squadlake.operators.growth import first_last_by_order, yoy_growth
 from squadlake.operators.profiles import (
     avg_by_group,
     conditional_rate,
-    corr_by_group,
+    corr_from_moments,
     profile_by_category,
     stats_by_group,
     total_by_group,
 )
-from squadlake.operators.ranking import max_per_entity, top_n_overall, top_n_per_group
+from squadlake.operators.ranking import top_entities, top_n_per_group
 from squadlake.plans.lake import Lake
+from squadlake.plans.silver import of_seasons
 from squadlake.plans.together import run_together
-from squadlake.sources.layers import (
-    read_gold_table,
-    scan_players,
-    scan_season_range,
-    write_parquet_overwrite,
-)
+from squadlake.sources.layers import scan_season_range
+from squadlake.sources.snapshots import Change
+from squadlake.sources.tables import read_gold_table, scan_players
 
 ENTITY = ("players_id", "players_name")
 SUBTOTALS = "subtotals"
@@ -76,6 +75,8 @@ def team_subtotals(players: DataFrame) -> DataFrame:
         F.count("players_age").alias("age_known"),
         F.min("players_age").alias("age_lowest"),
         F.max("players_age").alias("age_highest"),
+        F.count("players_marketValue").alias("value_rows"),
+        *[moment.alias(name) for name, moment in co_moments("players_age", "players_marketValue").items()],
     )
 
 
@@ -99,12 +100,11 @@ def season_ranking(inputs: Inputs) -> DataFrame:
 
 
 def overall_ranking(inputs: Inputs) -> DataFrame:
-    best = max_per_entity(inputs.players, inputs.entity, "players_marketValue")
-    return top_n_overall(best, "max_value", fixed.OVERALL_TOP, inputs.entity)
+    return top_entities(inputs.players, inputs.entity, "players_marketValue", fixed.OVERALL_TOP)
 
 
 def age_correlation(inputs: Inputs) -> DataFrame:
-    return corr_by_group(inputs.players, ["season"], "players_age", "players_marketValue")
+    return corr_from_moments(inputs.market_teams, ["season"])
 
 
 def _profile(inputs: Inputs, category: str) -> DataFrame:
@@ -227,26 +227,26 @@ def gold_inputs(
 
 
 def write_subtotals(
-    spark: SparkSession, lake: Lake, floors: Floors = Floors()
+    change: Change, players: DataFrame, seasons: Sequence[int | None] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Team and category sub-totals, written so that later tables start from files."""
-    players = scan_players(spark, lake.players)
-    teams = team_subtotals(scan_season_range(players, floors.lowest))
-    categories = category_subtotals(scan_season_range(players, floors.market))
-    teams_path = lake.gold_table(SUBTOTALS, "team")
-    categories_path = lake.gold_table(SUBTOTALS, "category")
-    reads = [lake.players]
+    """Team and category sub-totals of all seasons, or of ``seasons`` anew, as tables to start from."""
+    touched = of_seasons(players, seasons)
+    subtotals = {"team": team_subtotals(touched), "category": category_subtotals(touched)}
     run_together(
-        spark,
+        change.spark,
         [
-            partial(write_parquet_overwrite, teams, teams_path, reads),
-            partial(write_parquet_overwrite, categories, categories_path, reads),
+            partial(change.write, rows, f"{SUBTOTALS}/{name}", cluster_by=(), rebalance=False, touched=seasons)
+            for name, rows in subtotals.items()
         ],
     )
-    return (
-        spark.read.schema(teams.schema).parquet(teams_path),
-        spark.read.schema(categories.schema).parquet(categories_path),
+    teams, categories = (
+        change.read(f"{SUBTOTALS}/{name}", _ddl(rows)) for name, rows in subtotals.items()
     )
+    return teams, categories
+
+
+def _ddl(rows: DataFrame) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
 
 
 def run_gold(
@@ -254,27 +254,24 @@ def run_gold(
     lake: Lake,
     floors: Floors = Floors(),
     entity: tuple[str, ...] = ENTITY,
+    seasons: Sequence[int | None] | None = None,
 ) -> None:
-    """Write all tables. An error in one ends the run; nothing is skipped over.
+    """Write all tables and commit them together. An error in one ends the run; readers keep the tables of before.
 
     ``entity`` says who a player is: id and name, or only the name, which merges
-    namesakes.
+    namesakes. ``seasons`` are those that changed since the last run; the others' sub-totals are taken over.
     """
-    teams, categories = write_subtotals(spark, lake, floors)
-    inputs = gold_inputs(scan_players(spark, lake.players), teams, categories, floors, entity)
-    reads = [lake.players, f"{lake.gold}/{SUBTOTALS}"]
+    change = Change(spark, lake.gold)
+    players = scan_players(spark, lake.players)
+    inputs = gold_inputs(players, *write_subtotals(change, players, seasons), floors, entity)
     run_together(
         spark,
         [
-            partial(
-                write_parquet_overwrite,
-                table.build(inputs),
-                lake.gold_table(table.group, table.name),
-                reads,
-            )
+            partial(change.write, table.build(inputs), f"{table.group}/{table.name}", (), (), rebalance=False)
             for table in GOLD_TABLES
         ],
     )
+    change.commit()
 
 
 def presentation(spark: SparkSession, lake: Lake, group: str, name: str) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Where the tables of one lake lie."""
+"""Where the tables of one lake lie.
+
+Bronze, silver, gold and reports are layers that change by one commit each; see ``sources.snapshots``. ``state``
+holds what the last complete run read.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,9 @@ class Lake:
 
     root: str
 
+    def layer(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
     @property
     def bronze(self) -> str:
         return f"{self.root}/bronze/squads"
@@ -31,6 +38,10 @@ class Lake:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def files(self) -> str:
+        return f"{self.root}/state/files"
+
     def report(self, name: str) -> str:
         return f"{self.root}/reports/{name}"
 

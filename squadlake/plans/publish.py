@@ -10,19 +10,26 @@ from squadlake.plans.gold import GOLD_TABLES
 from squadlake.plans.lake import Lake
 from squadlake.plans.together import run_together
 from squadlake.sources import schemas
-from squadlake.sources.layers import publish_layer
+from squadlake.sources.publishing import Table, publish_tables
 
 
-def publish_lake(spark: SparkSession, lake: Lake, destination: Lake) -> None:
-    """Copy all tables, for example from cluster storage to an object store."""
-    layers = [
-        (lake.bronze, destination.bronze, schemas.BRONZE),
-        (lake.players_flat, destination.players_flat, schemas.PLAYER_FLAT),
-        (lake.players, destination.players, schemas.PLAYER_CLEAN),
-        (lake.quarantine, destination.quarantine, schemas.QUARANTINE),
+def layer_tables() -> dict[str, list[Table]]:
+    """The tables of each layer that are published."""
+    return {
+        "bronze": [Table("squads", schemas.BRONZE)],
+        "silver": [
+            Table("players_flat", schemas.PLAYER_FLAT),
+            Table("players", schemas.PLAYER_CLEAN),
+            Table("quarantine", schemas.QUARANTINE),
+        ],
+        "gold": [Table(f"{t.group}/{t.name}", None, (), ()) for t in GOLD_TABLES],
+    }
+
+
+def publish_lake(spark: SparkSession, lake: Lake, destination: Lake, verify: bool = False) -> None:
+    """Bring another lake up to date, for example from cluster storage to an object store; see ``publish_tables``."""
+    copies = [
+        partial(publish_tables, spark, lake.layer(layer), destination.layer(layer), tables, verify)
+        for layer, tables in layer_tables().items()
     ]
-    copies = [partial(publish_layer, spark, *layer) for layer in layers]
-    for table in GOLD_TABLES:
-        paths = [place.gold_table(table.group, table.name) for place in (lake, destination)]
-        copies.append(partial(publish_layer, spark, *paths, partition_by=(), cluster_by=()))
     run_together(spark, copies)

@@ -10,13 +10,12 @@ where the number of teams is known to be small.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squadlake.functions.cleaning import normalize_team_name
-from squadlake.sources.schemas import BRONZE, PLAYER_CLEAN, PLAYER_FLAT, QUARANTINE
 
 PARTITION_BY = ("season",)
 CLUSTER_BY = ("team",)
@@ -70,6 +69,7 @@ def output_file_policy(
     partition_by: Sequence[str] = PARTITION_BY,
     cluster_by: Sequence[str] = CLUSTER_BY,
     rebalance: bool = True,
+    watched: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Arrange rows so that every partition gets few, evenly sized files.
 
@@ -78,9 +78,12 @@ def output_file_policy(
     of files follows the bytes, with no count beforehand and no upper limit, and
     one season with a third of all rows is written by many tasks. Leave it off
     when the input already lies by partition; then nothing is shuffled at all.
+    ``watched`` is applied behind the last shuffle, in the very tasks that write.
     """
     if rebalance and partition_by:
         df = df.hint("rebalance", REBALANCE_PARTITIONS, *partition_by)
+    if watched is not None:
+        df = watched(df)
     order = [*partition_by, *cluster_by]
     return df.sortWithinPartitions(*order) if order else df
 
@@ -137,43 +140,6 @@ def write_bronze(squads: DataFrame, target: str, reads: Sequence[str] = (), **la
     write_layer(squads, target, reads, rebalance=True, **layout)
 
 
-def publish_layer(
-    spark: SparkSession,
-    source: str,
-    destination: str,
-    schema: str | None = None,
-    partition_by: Sequence[str] = PARTITION_BY,
-    cluster_by: Sequence[str] = CLUSTER_BY,
-) -> None:
-    """Copy a Parquet layer to any URI Spark can write, files of a season staying together."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    write_layer(
-        reader.parquet(source),
-        destination,
-        reads=[source],
-        rebalance=False,
-        partition_by=partition_by,
-        cluster_by=cluster_by,
-    )
-
-
-def scan_bronze(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(BRONZE).parquet(root)
-
-
-def scan_players_flat(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(PLAYER_FLAT).parquet(root)
-
-
-def scan_players(spark: SparkSession, root: str) -> DataFrame:
-    """The clean table; its schema is given, so a team named ``1899`` stays text."""
-    return spark.read.schema(PLAYER_CLEAN).parquet(root)
-
-
-def scan_quarantine(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE).parquet(root)
-
-
 def scan_season_range(df: DataFrame, floor: int, season: str = "season") -> DataFrame:
     """Seasons from ``floor`` on; on a partitioned table this prunes directories."""
     return df.where(F.col(season) >= floor)
@@ -189,7 +155,3 @@ def lookup_team_season(
     """
     wanted = F.col("team").isin(F.lit(team), normalize_team_name(F.lit(team), team_name_mode))
     return df.where((F.col("season") == season) & wanted)
-
-
-def read_gold_table(spark: SparkSession, gold: str, group: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{gold}/{group}/{name}")

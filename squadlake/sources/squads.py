@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,10 +99,20 @@ def _parsed(documents: DataFrame) -> DataFrame:
     )
 
 
-def _scan_files(spark: SparkSession, path: str, files: dict, by_line: bool) -> DataFrame:
+def _of_seasons(files: DataFrame, seasons: Sequence[int | None] | None) -> DataFrame:
+    """Judged by the path alone, so that other files are dropped when files are listed."""
+    if seasons is None:
+        return files
+    season = season_from_path(decode_path("_metadata.file_path"))
+    return files.where(reduce(or_, [season.eqNullSafe(one) for one in seasons], F.lit(False)))
+
+
+def _scan_files(
+    spark: SparkSession, path: str, files: dict, by_line: bool, seasons: Sequence[int | None] | None
+) -> DataFrame:
     """Files as one text each, in one task each. They come as bytes, which is several
     times faster here than reading them as text."""
-    content = spark.read.format("binaryFile").options(**files).load(path)
+    content = _of_seasons(spark.read.format("binaryFile").options(**files).load(path), seasons)
     text = F.ltrim(F.col("content").cast("string"), F.lit(BYTE_ORDER_MARK))
     return content.select(
         F.col("_metadata.file_path").alias("path"),
@@ -106,8 +120,10 @@ def _scan_files(spark: SparkSession, path: str, files: dict, by_line: bool) -> D
     )
 
 
-def _scan_lines(spark: SparkSession, path: str, files: dict) -> DataFrame:
-    lines = spark.read.options(**files).text(path)
+def _scan_lines(
+    spark: SparkSession, path: str, files: dict, seasons: Sequence[int | None] | None
+) -> DataFrame:
+    lines = _of_seasons(spark.read.options(**files).text(path), seasons)
     text = F.ltrim(F.col("value"), F.lit(BYTE_ORDER_MARK))
     return lines.where(strip(text) != "").select(
         F.col("_metadata.file_path").alias("path"),
@@ -116,7 +132,11 @@ def _scan_lines(spark: SparkSession, path: str, files: dict) -> DataFrame:
 
 
 def scan_squad_json(
-    spark: SparkSession, path: str, layout: str = "auto", glob: str = "*.json"
+    spark: SparkSession,
+    path: str,
+    layout: str = "auto",
+    glob: str = "*.json",
+    seasons: Sequence[int | None] | None = None,
 ) -> DataFrame:
     """Squad documents below ``path`` with ``team``, ``season`` and ``source_file``.
 
@@ -127,14 +147,15 @@ def scan_squad_json(
     What a text is, parsing decides. The schema is given, so nothing is read twice to
     infer it. Text that can't be parsed stays as a row, in ``_corrupt_record``: a file or line
     with anything beside its documents, or two of them on a line, is such a text as a whole.
+    ``seasons`` leaves files of other seasons unopened.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}: use one of {', '.join(LAYOUTS)}")
     files = {"recursiveFileLookup": True, "pathGlobFilter": glob}
     if layout == "lines":
-        documents = _scan_lines(spark, path, files)
+        documents = _scan_lines(spark, path, files, seasons)
     else:
-        documents = _scan_files(spark, path, files, by_line=layout == "auto")
+        documents = _scan_files(spark, path, files, layout == "auto", seasons)
     return (
         _parsed(documents)
         .withColumn("source_file", decode_path("path"))

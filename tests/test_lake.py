@@ -270,9 +270,9 @@ def test_gold_schema(spark, lake, table):
 
 def test_layer_schemas(spark, lake):
     for scan, schema in (
-        (spark.read.parquet(lake.bronze), schemas.BRONZE),
-        (spark.read.parquet(lake.players_flat), schemas.PLAYER_FLAT),
-        (spark.read.parquet(lake.players), schemas.PLAYER_CLEAN),
+        (sources.scan_bronze(spark, lake.bronze), schemas.BRONZE),
+        (sources.read_table(spark, lake.layer("silver"), "players_flat"), schemas.PLAYER_FLAT),
+        (sources.read_table(spark, lake.layer("silver"), "players"), schemas.PLAYER_CLEAN),
     ):
         assert sorted(scan.dtypes) == sorted(spark.createDataFrame([], schema).dtypes)
 
@@ -299,7 +299,7 @@ def test_floors_and_entity_are_parameters(spark, lake, tmp_path):
     import shutil
 
     other = Lake(str(tmp_path / "tables"))
-    shutil.copytree(lake.players, other.players)
+    shutil.copytree(lake.layer("silver"), other.layer("silver"))
     run_gold(spark, other, Floors(market=2013, age=2014), entity=("players_name",))
     ages = presentation(spark, other, "squad_age_analysis", "season_age_evolution")
     assert rows(ages, "season") == [(2014,)]
@@ -347,10 +347,10 @@ def test_players_of_a_damaged_document_are_rejected_for_it(spark, tmp_path):
     assert counts["bronze", "Quay"] == (1, 0, 1) and counts["silver", "Mill"] == (1, 1, 0)
     assert counts.get(("silver", "Quay"), (0, 0, 0))[1] == 0
     run_reports(spark, lake)
-    totals = spark.read.parquet(lake.report("run_totals")).first()
+    totals = sources.read_table(spark, lake.layer("reports"), "run_totals").first()
     assert (totals.teams, totals.files, totals.present, totals.missing) == (2, 2, 2, 0)
-    assert spark.read.parquet(lake.report("coverage")).count() == 2
-    assert spark.read.parquet(lake.report("quality")).count() >= 2
+    assert sources.read_table(spark, lake.layer("reports"), "coverage").count() == 2
+    assert sources.read_table(spark, lake.layer("reports"), "quality").count() >= 2
 
 
 def test_age_groups_are_read_by_age(spark, lake):

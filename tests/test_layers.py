@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from squadlake import session, sources
 from squadlake.sources import schemas
-from squadlake.sources.layers import scan_bronze
+from squadlake.sources import scan_bronze
 
 
 @pytest.fixture
@@ -57,10 +57,11 @@ def test_two_level_layout(spark, table, tmp_path):
 
 
 def test_publish_copies_rows_and_partitions(spark, table, tmp_path):
-    target = f"file:{tmp_path}/published"
+    target = f"file:{tmp_path}/published/table"
     sources.publish_layer(spark, table, target)
-    assert stored(spark, target) == stored(spark, table)
-    assert (tmp_path / "published" / "season=2010").is_dir()
+    copy = sources.read_table(spark, f"file:{tmp_path}/published", "table", "team string, v int, season int")
+    assert sorted((r.team, r.season, r.v) for r in copy.collect()) == stored(spark, table)
+    assert list((tmp_path / "published" / "table").glob("_write=*/season=2010"))
     with pytest.raises(ValueError, match="refusing"):
         sources.publish_layer(spark, table, table)
 

@@ -10,6 +10,7 @@ from squadlake import operators as ops
 from squadlake import sources
 from squadlake.plans import GOLD_TABLES, gold
 from squadlake.plans.silver import clean_players, flatten_squads, rejected_players
+from squadlake.sources import schemas
 from squadlake.sources.layers import output_file_policy
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -130,7 +131,7 @@ def test_silver_judges_once(spark, tmp_path):
     from squadlake.plans import silver_quality
 
     sources.write_layer(
-        spark.createDataFrame([], sources.layers.PLAYER_FLAT), str(tmp_path / "flat"), rebalance=False
+        spark.createDataFrame([], schemas.PLAYER_FLAT), str(tmp_path / "flat"), rebalance=False
     )
     flat = sources.scan_players_flat(spark, str(tmp_path / "flat"))
     assert "IsNull(reject_reason)" in plan(clean_players(flat))
@@ -139,8 +140,8 @@ def test_silver_judges_once(spark, tmp_path):
 
 
 def test_silver_writes_shuffle_nothing(spark):
-    bronze = spark.createDataFrame([], sources.layers.BRONZE)
-    flat = spark.createDataFrame([], sources.layers.PLAYER_FLAT)
+    bronze = spark.createDataFrame([], schemas.BRONZE)
+    flat = spark.createDataFrame([], schemas.PLAYER_FLAT)
     for df in (flatten_squads(bronze), clean_players(flat), rejected_players(flat)):
         assert "Exchange" not in plan(output_file_policy(df, rebalance=False))
 
