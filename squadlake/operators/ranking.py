@@ -79,6 +79,12 @@ def top_entities(
     left for the shuffle is little more than ``k`` entities a task, and all that tie with the bound. The bound costs a
     second scan of two columns and one row for each bucket and task. With fewer than ``k`` buckets in use nothing is left out.
     """
+    reaching = rows_that_reach(df, entity, value, k)
+    return top_n_overall(max_per_entity(reaching, entity, value, alias), alias, k, entity, rank)
+
+
+def rows_that_reach(df: DataFrame, entity: Sequence[str], value: str, k: int) -> DataFrame:
+    """Rows whose value is not below the bound of ``top_entities``."""
     bucket = F.pmod(F.xxhash64(*entity), F.lit(k * BUCKETS_PER_RANK))
     best = df.groupBy(bucket.alias("bucket")).agg(F.max(value).alias("best"))
     bound = (
@@ -87,8 +93,7 @@ def top_entities(
         .agg(F.when(F.count("best") == k, F.min("best")).alias("bound"))
         .scalar()
     )
-    reaching = df.where(bound.isNull() | (F.col(value) >= bound))
-    return top_n_overall(max_per_entity(reaching, entity, value, alias), alias, k, entity, rank)
+    return df.where(bound.isNull() | (F.col(value) >= bound))
 
 
 def top_n_overall(

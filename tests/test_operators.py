@@ -1,5 +1,7 @@
 """Operators on small frames: edges, errors and properties."""
 
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -171,3 +173,50 @@ def test_explode_drops_empty_arrays_and_keeps_order_of_columns(spark):
     flat = ops.flatten_struct(ops.explode_rows(df, "items", "item", ["id"]), "item", ["x"], "i_", ["id"])
     assert [tuple(row) for row in flat.collect()] == [(1, "a")]
     assert flat.columns == ["id", "i_x"]
+
+
+@given(
+    st.lists(st.tuples(st.integers(0, 30), st.one_of(st.none(), st.integers(0, 6))), max_size=60),
+    st.integers(1, 12),
+)
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_top_entities_are_those_of_all_maxima(spark, rows, k):
+    df = spark.createDataFrame(rows, "entity int, v int")
+    best = {}
+    for entity, value in rows:
+        known = [x for x in (best.get(entity), value) if x is not None]
+        best[entity] = max(known, default=None)
+    order = sorted(best.items(), key=lambda item: (item[1] is None, -(item[1] or 0), item[0]))
+    expected = [(entity, value, i + 1) for i, (entity, value) in enumerate(order[:k])]
+    assert [tuple(r) for r in ops.top_entities(df, ["entity"], "v", k).orderBy("rank").collect()] == expected
+
+
+def test_few_entities_reach_the_shuffle(spark):
+    from squadlake.operators.ranking import rows_that_reach
+
+    df = spark.range(0, 100_000, 1, 8).select(
+        (F.col("id") % 30_011).alias("entity"), F.pmod(F.xxhash64("id"), F.lit(1_000_003)).alias("v")
+    )
+    hot = df.unionByName(spark.range(50_000).select(F.lit(7).cast("long").alias("entity"), F.lit(2_000_000).cast("long").alias("v")))
+    reaching = rows_that_reach(hot, ["entity"], "v", 15).select("entity").distinct().count()
+    assert 15 <= reaching <= 30
+    assert ops.top_entities(hot, ["entity"], "v", 15).where("rank = 1").first().entity == 7
+
+
+def test_moments_are_exact_where_doubles_are_not(spark):
+    from fractions import Fraction
+
+    rng = random.Random(5)
+    rows = [(g, rng.randint(18, 40), 10**12 + rng.randint(0, 3), i % 7) for g in (1, 2) for i in range(400)]
+    rows += [(1, None, 5, 0), (1, 30, None, 0), (3, 20, 10**12, 0), (4, 20, 7, 1), (4, 20, 9, 2), (5, None, None, 0)]
+    df = spark.createDataFrame(rows, "g int, x int, y bigint, part int")
+    merged = ops.corr_from_moments(ops.moments_by_group(df, ["g", "part"], "x", "y"), ["g"])
+    got = {r.g: (r.age_value_correlation, r.avg_market_value) for r in merged.collect()}
+    for g in (1, 2):
+        pairs = [(x, y) for h, x, y, _ in rows if h == g and x is not None and y is not None]
+        n, mx, my = len(pairs), Fraction(sum(x for x, _ in pairs), len(pairs)), Fraction(sum(y for _, y in pairs), len(pairs))
+        sxy = sum((x - mx) * (y - my) for x, y in pairs)
+        sxx, syy = sum((x - mx) ** 2 for x, _ in pairs), sum((y - my) ** 2 for _, y in pairs)
+        assert got[g][0] == pytest.approx(float(sxy) / (float(sxx) * float(syy)) ** 0.5, rel=1e-12)
+    assert got[3][0] is None and got[4][0] is None and got[5] == (None, None)
+    assert got[4][1] == 8.0
