@@ -184,6 +184,12 @@ def _mixed_files(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+@check(NESTED_SQL + ", cast(2000 + conv_id % 10 as integer) as season from conversations")
+def scan_squad_json_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents in files of every shape, cut at their braces by the tasks that read a file together."""
+    return _scanned(spark, sf_dir, "sequence")
+
+
 def _scanned(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
     squads = sources.scan_squad_json(spark, _mixed_files(spark, sf_dir), layout, glob="*.txt")
     return _flat_turns(squads, ("id", "updatedAt", "season"))

@@ -17,11 +17,15 @@ from squadlake.functions.paths import (
     team_from_file_name,
 )
 from squadlake.sources.schemas import CORRUPT, SQUAD
+from squadlake.sources.sequences import BETWEEN, documents_in_sequence
 
 DOCUMENT = f"{SQUAD}, {CORRUPT} string"
 PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 BYTE_ORDER_MARK = "﻿"
-LAYOUTS = ("auto", "document", "lines")
+LAYOUTS = ("auto", "document", "lines", "sequence")
+
+# Files up to this size are read as one text by one task, larger ones as a sequence of documents by many.
+WHOLE_FILE = 256 << 20
 END_MARK = "#end"
 
 
@@ -107,12 +111,19 @@ def _of_seasons(files: DataFrame, seasons: Sequence[int | None] | None) -> DataF
     return files.where(reduce(or_, [season.eqNullSafe(one) for one in seasons], F.lit(False)))
 
 
+def _has_large_files(spark: SparkSession, path: str, files: dict) -> bool:
+    """Asks the listing alone."""
+    listed = spark.read.format("binaryFile").options(**files).load(path).select("length")
+    return not listed.where(F.col("length") > WHOLE_FILE).isEmpty()
+
+
 def _scan_files(
     spark: SparkSession, path: str, files: dict, by_line: bool, seasons: Sequence[int | None] | None
 ) -> DataFrame:
     """Files as one text each, in one task each. They come as bytes, which is several
     times faster here than reading them as text."""
     content = _of_seasons(spark.read.format("binaryFile").options(**files).load(path), seasons)
+    content = content.where(F.col("_metadata.file_size") <= WHOLE_FILE)
     text = F.ltrim(F.col("content").cast("string"), F.lit(BYTE_ORDER_MARK))
     return content.select(
         F.col("_metadata.file_path").alias("path"),
@@ -120,6 +131,29 @@ def _scan_files(
     )
 
 
+def _scan_sequences(
+    spark: SparkSession, path: str, files: dict, seasons: Sequence[int | None] | None, above: int = -1
+) -> DataFrame:
+    """Documents cut at their braces; what stands between them, or is left open, is judged as a text of its own."""
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        return _of_seasons(rows if above < 0 else rows.where(F.col("_metadata.file_size") > above), seasons)
+
+    texts = documents_in_sequence(spark, path, files, chosen)
+    text = F.regexp_replace("text", rf"\A{BETWEEN}+", "")
+    text = F.when(F.col("closed"), text).otherwise(F.regexp_replace(text, rf"{BETWEEN}+\z", ""))
+    texts = texts.select("path", "closed", text.alias("text")).where(F.col("text") != "")
+    none = F.lit(None).cast("string")
+    before = strip(F.regexp_extract("text", r"(?s)\A[^{]*", 0))
+    document = F.struct(
+        F.substring("text", F.locate("{", F.col("text")), F.char_length("text")).alias("document"),
+        none.alias("unreadable"),
+    )
+    beside = F.when(before != "", F.struct(none.alias("document"), before.alias("unreadable")))
+    found = F.when(F.col("closed") & F.contains("text", F.lit("{")), F.array_compact(F.array(beside, document)))
+    return texts.select("path", F.explode(found.otherwise(_documents_of_file(F.col("text"), True))).alias("found"))
+
+
 def _scan_lines(
     spark: SparkSession, path: str, files: dict, seasons: Sequence[int | None] | None
 ) -> DataFrame:
@@ -142,11 +176,14 @@ def scan_squad_json(
 
     ``document``  a file is one document, an array of them, or several one after another
     ``auto``      the same; a file that isn't, is read line by line if a line is a document
-    ``lines``     every line is a document or an array; the only layout that splits large files
+    ``lines``     every line is a document or an array; large files are split at lines
+    ``sequence``  documents one after another or in an array, wherever lines end; large files are split anywhere
 
     What a text is, parsing decides. The schema is given, so nothing is read twice to
     infer it. Text that can't be parsed stays as a row, in ``_corrupt_record``: a file or line
-    with anything beside its documents, or two of them on a line, is such a text as a whole.
+    with anything beside its documents, or two of them on a line, is such a text as a whole. In a sequence
+    documents are told by their braces, and only the text beside them is such a row; ``auto`` and ``document`` read files above
+    WHOLE_FILE so, see ``sequences``.
     ``seasons`` leaves files of other seasons unopened.
     """
     if layout not in LAYOUTS:
@@ -154,8 +191,12 @@ def scan_squad_json(
     files = {"recursiveFileLookup": True, "pathGlobFilter": glob}
     if layout == "lines":
         documents = _scan_lines(spark, path, files, seasons)
+    elif layout == "sequence":
+        documents = _scan_sequences(spark, path, files, seasons)
     else:
         documents = _scan_files(spark, path, files, layout == "auto", seasons)
+        if _has_large_files(spark, path, files):
+            documents = documents.unionByName(_scan_sequences(spark, path, files, seasons, WHOLE_FILE))
     return (
         _parsed(documents)
         .withColumn("source_file", decode_path("path"))
