@@ -57,13 +57,17 @@ def split_documents(text: Column) -> Column:
     return F.when(F.size(found) > 0, F.transform(found, lambda x: F.coalesce(x, F.lit("null"))))
 
 
-def _documents_or_text(text: Column) -> Column:
-    """(document, text that is none) of each document in ``text``, or of the text itself."""
+def _documents(text: Column) -> Column:
+    """(document, NULL) of each document in ``text``; NULL if it is anything else."""
     none = F.lit(None).cast("string")
-    found = F.transform(
+    return F.transform(
         split_documents(text), lambda x: F.struct(x.alias("document"), none.alias("unreadable"))
     )
-    return F.coalesce(found, _unreadable(text))
+
+
+def _documents_or_text(text: Column) -> Column:
+    """(document, text that is none) of each document in ``text``, or of the text itself."""
+    return F.coalesce(_documents(text), _unreadable(text))
 
 
 def _unreadable(text: Column) -> Column:
@@ -80,12 +84,11 @@ def _is_squad(line: Column) -> Column:
 
 def _documents_of_file(text: Column, by_line: bool) -> Column:
     """All of a file's text, as documents; what can't be parsed is one of them too."""
-    found = _documents_or_text(text)
     if not by_line:
-        return found
+        return _documents_or_text(text)
     lines = F.filter(F.split(text, "\n"), lambda line: strip(line) != "")
     each = F.flatten(F.transform(lines, _documents_or_text))
-    return F.when(split_documents(text).isNull() & F.exists(lines, _is_squad), each).otherwise(found)
+    return F.coalesce(_documents(text), F.when(F.exists(lines, _is_squad), each), _unreadable(text))
 
 
 def _parsed(documents: DataFrame) -> DataFrame:
