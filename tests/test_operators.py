@@ -220,3 +220,19 @@ def test_moments_are_exact_where_doubles_are_not(spark):
         assert got[g][0] == pytest.approx(float(sxy) / (float(sxx) * float(syy)) ** 0.5, rel=1e-12)
     assert got[3][0] is None and got[4][0] is None and got[5] == (None, None)
     assert got[4][1] == 8.0
+
+
+@given(st.lists(st.tuples(st.sampled_from("abcd"), st.sampled_from([None, -65, -64, -1, 0, 63, 64, 2010, 2011, 2**31 - 1, -(2**31)])), max_size=30))
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_periods_are_bits(spark, rows):
+    df = spark.createDataFrame([(t, s, f"f{i}") for i, (t, s) in enumerate(rows)], "team string, season int, source_file string")
+    used = {s for _, s in rows if s is not None}
+    present = {t: {s for u, s in rows if u == t and s is not None} for t, _ in rows}
+    seasons = {r.team: r.seasons for r in ops.seasons_by_team(df).collect()}
+    assert seasons == {t: sorted(s) for t, s in present.items() if s}
+    gaps = sorted(tuple(r) for r in ops.coverage_gaps(df).collect())
+    assert gaps == sorted((t, s) for t, own in present.items() if own for s in used - own)
+    report = {r.team: (r.files, r.seasons_present, r.seasons_missing) for r in ops.coverage_report(df).collect()}
+    assert report == {t: (sum(u == t for u, _ in rows), sorted(own), sorted(used - own)) for t, own in present.items()}
+    totals = ops.run_totals(df).first()
+    assert (totals.present, totals.missing) == (sum(map(len, present.values())), sum(len(used - own) for own in present.values()))
