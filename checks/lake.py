@@ -205,6 +205,12 @@ def lookup_squad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.lookup_team_season(players, "AFC_NATION7", 2006)
 
 
+@check(LAKE_SQL + "select * from players where players_id = '77' and season >= 2002")
+def lookup_player(spark: SparkSession, sf_dir: str) -> DataFrame:
+    players = sources.scan_players(spark, built_lake(spark, sf_dir).players)
+    return sources.lookup_player(players, "77", 2002)
+
+
 def _gold(spark: SparkSession, sf_dir: str, group: str, name: str, *rounded: str) -> DataFrame:
     stored = presentation(spark, built_lake(spark, sf_dir), group, name)
     return stored.withColumns({column: F.round(column, 6) for column in rounded})

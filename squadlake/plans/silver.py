@@ -118,7 +118,10 @@ def run_silver(
     flat = of_seasons(change.read("players_flat", PLAYER_FLAT), seasons)
     tables = {"players": clean_players(flat, team_name_mode), "quarantine": rejected_players(flat)}
     count = {"rows": F.count(F.lit(1))}
-    run_together(spark, [partial(write, rows, name, counted=count) for name, rows in tables.items()])
+    run_together(
+        spark,
+        [partial(write, rows, name, counted=count, bloom_filters=["players_id"]) for name, rows in tables.items()],
+    )
     written = {name: change.tables[name][0].counts["rows"] for name in tables}
     if written != {"players": counts["rows_out"], "quarantine": counts["rejected"]}:
         raise CountsDiffer(f"flat has {dict(counts)}, but {written} were written")

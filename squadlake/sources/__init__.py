@@ -1,4 +1,5 @@
 from squadlake.sources.layers import (
+    lookup_player,
     lookup_team_season,
     output_file_policy,
     scan_season_range,
@@ -33,6 +34,7 @@ __all__ = [
     "current_version",
     "expire_versions",
     "list_files",
+    "lookup_player",
     "lookup_team_season",
     "output_file_policy",
     "publish_layer",

@@ -95,11 +95,13 @@ def write_parquet_overwrite(
     partition_by: Sequence[str] = (),
     only_touched_partitions: bool = False,
     max_records_per_file: int | None = None,
+    bloom_filters: Sequence[str] = (),
 ) -> None:
     """Replace ``target``, or with ``only_touched_partitions`` the partitions in ``df``.
 
     ``reads`` names the paths ``df`` is read from. Overwriting one of them would
-    delete the input before it is read, so that is refused here.
+    delete the input before it is read, so that is refused here. Columns in ``bloom_filters`` get a
+    filter in every row group, so that looking a value up reads only the groups that may hold it.
     """
     for source in reads:
         if _overlap(df.sparkSession, source, target):
@@ -108,6 +110,11 @@ def write_parquet_overwrite(
     if partition_by:
         mode = "dynamic" if only_touched_partitions else "static"
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)
+    for column in bloom_filters:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    if bloom_filters:
+        # Sized by the values met, a megabyte at most.
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     if max_records_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(target)
@@ -145,6 +152,12 @@ def scan_season_range(df: DataFrame, floor: int, season: str = "season") -> Data
     return df.where(F.col(season) >= floor)
 
 
+def lookup_player(df: DataFrame, players_id: str, first_season: int | None = None) -> DataFrame:
+    """All seasons of one player. Ids lie in no order, so row groups are told apart by their filters."""
+    rows = df if first_season is None else scan_season_range(df, first_season)
+    return rows.where(F.col("players_id") == players_id)
+
+
 def lookup_team_season(
     df: DataFrame, team: str, season: int, team_name_mode: str = "token"
 ) -> DataFrame:

@@ -178,3 +178,24 @@ def test_files_are_sorted_by_team(spark, players, tmp_path):
     for file in (tmp_path / "out").rglob("*.parquet"):
         teams = pq.ParquetFile(file).read(columns=["team"])["team"].to_pylist()
         assert teams == sorted(teams)
+
+
+def test_a_player_is_looked_up_in_few_row_groups(spark, tmp_path):
+    """Ids are spread over all files; the filters leave those that hold the one looked for."""
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "16k")
+    try:
+        for name, filters in (("plain", []), ("bloom", ["players_id"])):
+            sources.replace_table(player_rows(spark), str(tmp_path / name), "players", bloom_filters=filters)
+    finally:
+        spark.conf.set(advisory, before)
+    read = {}
+    for name in ("plain", "bloom"):
+        rows = sources.lookup_player(sources.scan_players(spark, str(tmp_path / name / "players")), "4711")
+        scan = rows._jdf.queryExecution().executedPlan()
+        assert scan.executeCollectPublic().__len__() == 1
+        while scan.children().size():
+            scan = scan.children().head()
+        read[name] = scan.metrics().apply("numOutputRows").value()
+    assert read["bloom"] < 2_000 and read["bloom"] * 4 < read["plain"]
