@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from squadlake.llm.common import findable
 
 SCALE = 64
-ROWS = 8_192
-QUERIES = 1_024
+#: Rows of a block: so many that a bitmap of them is worth a call of its own. Queries of a group.
+ROWS, QUERIES = 65_536, 1_024
 
 
 class BitSlices:
@@ -45,13 +45,11 @@ class BitSlices:
         weights: dict[int, list[np.ndarray]] = {}
         base = int(sum(int(q) * int(low) for q, low in zip(query, self.lowest)))
         for d, q in enumerate(int(x) for x in query):
-            chosen = self.slices[d] if q > 0 else self.unset[d]
-            if q < 0:
-                base += q * ((1 << self.widths[d]) - 1)
-            for j in range(abs(q).bit_length()):
-                if abs(q) >> j & 1:
-                    for b, bits in enumerate(chosen):
-                        weights.setdefault(b + j, []).append(bits)
+            for j, digit in _signed_digits(q):
+                if digit < 0:
+                    base -= ((1 << self.widths[d]) - 1) << j
+                for b, bits in enumerate(self.slices[d] if digit > 0 else self.unset[d]):
+                    weights.setdefault(b + j, []).append(bits)
         total, at = [], 0
         while weights:
             waiting = weights.pop(at, [])
@@ -86,6 +84,18 @@ class BitSlices:
         return np.flatnonzero(np.unpackbits((sure | open_).view(np.uint8), bitorder="little")[: self.rows])
 
 
+def _signed_digits(number: int) -> Iterator[tuple[int, int]]:
+    """Places and signs of the fewest powers of two that add up to ``number``: no two are neighbours."""
+    place = 0
+    while number:
+        if number & 1:
+            sign = 2 - (number & 3)
+            yield place, sign
+            number -= sign
+        number >>= 1
+        place += 1
+
+
 def _bitmap(flags: np.ndarray, words: int) -> np.ndarray:
     packed = np.packbits(flags, bitorder="little")
     return np.pad(packed, (0, words * 8 - len(packed))).view(np.uint64)
@@ -97,20 +107,24 @@ def block_search(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> Iterator[
         return
     rows = rows.sort_values("vec_id")
     ids, values = rows["vec_id"].to_numpy(), np.stack(rows["v"].to_numpy())
+    place = dict(zip(rows["row"].to_list(), range(len(rows))))
     index = BitSlices(values)
-    for query, vector in zip(queries["vec_id"].to_numpy(), queries["v"].to_numpy()):
+    for row, query, vector in zip(queries["row"].to_list(), queries["vec_id"].to_list(), queries["v"]):
         slices, base = index.score(vector)
-        # Rows of the query's own id may be among the highest, so that many more are asked for.
-        own = int(np.searchsorted(ids, query, "right") - np.searchsorted(ids, query, "left"))
-        found = index.top(slices, k + own)
-        found = found[ids[found] != query]
+        # The query's own row may be among the highest, so that one more is asked for.
+        own = place.get(row, -1)
+        found = index.top(slices, k + (own >= 0))
+        found = found[found != own]
         score = np.full(len(found), base, np.int64)
         for weight, s in enumerate(slices):
             bits = (s[found >> 6] >> (found & 63).astype(np.uint64)) & np.uint64(1)
             score += bits.astype(np.int64) << weight
         # Rows on the boundary are told apart by their id; the sort is stable and ids ascend.
         best = np.argsort(-score, kind="stable")[:k]
-        yield pd.DataFrame({"query_id": query, "vec_id": ids[found[best]], "score": score[best]})
+        yield pd.DataFrame({"row": row, "query_id": query, "vec_id": ids[found[best]], "score": score[best]})
+
+
+FOUND = ("row", "query_id", "vec_id", "score")
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
@@ -135,38 +149,37 @@ def top_inner_products(vectors: DataFrame, every: int = 20, k: int = 20, rows: i
     Queries are the rows whose id is divisible by ``every``. Rows are dealt to blocks of about
     ``rows``, each with an index of its own; queries go in groups of about ``queries`` to every
     block, so that no task sees more than one block and one group. Each pair gives at most k rows
-    a query. Rows of the query's own id are no candidates; ties go to the smaller id; vectors of
+    a query. The query's own row is no candidate; ties go to the smaller id; vectors of
     another length than the query's are not compared. Scores must fit a long. Rows with a null id
-    or an unusable vector take no part, repeated rows are candidates each and one
-    query (the least vector, if they differ), other columns are
-    ignored, an empty table gives an empty result.
+    or an unusable vector take no part, rows that repeat an id or all of another are candidates and
+    queries each, other columns are ignored, an empty table gives an empty result.
     """
-    ints = quantised(findable(vectors)).withColumn("part", F.size("v"))
+    # Numbered as they are read: the same rows get the same numbers wherever they are read again.
+    ints = quantised(findable(vectors)).withColumns(
+        {"part": F.size("v"), "row": F.monotonically_increasing_id()}
+    )
     count = ints.count()
     blocks, groups = -(-count // rows) or 1, -(-count // (every * queries)) or 1
-    dealt = F.monotonically_increasing_id()  # even also if most rows are equal
-    candidates = ints.withColumn("block", F.pmod(dealt, F.lit(blocks))).withColumn(
+    # By number, which is even also if most rows are equal.
+    candidates = ints.withColumn("block", F.pmod("row", F.lit(blocks))).withColumn(
         "group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     )
     asked = (
         ints.where(F.col("vec_id") % every == 0)
-        .groupBy("vec_id")
-        .agg(F.min("v").alias("v"))
-        .withColumn("part", F.size("v"))
-        .withColumn("group", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int"))
+        .withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     )
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = list(block_search(left, right, k))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+        return pd.concat(found) if found else pd.DataFrame({n: [] for n in FOUND}, dtype="int64")
 
     keys = ["part", "block", "group"]
     found = (
         candidates.groupBy(*keys).cogroup(asked.groupBy(*keys))
-        .applyInPandas(search, "query_id long, vec_id long, score long")
+        .applyInPandas(search, ", ".join(f"{name} long" for name in FOUND))
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best).cast("int"))
         .where(F.col("rank") <= k)
@@ -175,19 +188,19 @@ def top_inner_products(vectors: DataFrame, every: int = 20, k: int = 20, rows: i
 
 
 SEARCH_SQL = f"""
-with ints as (
-    select vec_id, list_transform(embedding, lambda x: cast(floor({SCALE} * cast(x as double)) as bigint)) as v
+with ints as materialized (
+    select row_number() over () as key, vec_id, list_transform(embedding, lambda x: cast(floor({SCALE} * cast(x as double)) as bigint)) as v
     from embeddings
     where embedding is not null and len(embedding) > 0 and vec_id is not null
       and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ),
 scored as (
-    select q.vec_id as query_id, c.vec_id,
+    select q.key, q.vec_id as query_id, c.vec_id,
            cast(list_inner_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
-    from ints q join ints c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+    from ints q join ints c on q.key <> c.key and len(q.v) = len(c.v)
     where q.vec_id % 20 = 0
 )
 select query_id, cast(rank as integer) as rank, vec_id, score from (
-    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+    select *, row_number() over (partition by key order by score desc, vec_id) as rank from scored
 ) where rank <= 20
 """

@@ -4,10 +4,12 @@ import random
 import zlib
 from itertools import combinations
 
+import duckdb
 import numpy as np
 import pandas as pd
 
 from squadlake.llm import search, sharding
+from tests.compare import assert_same
 
 
 def test_cuts_are_the_smallest_possible():
@@ -68,13 +70,11 @@ def plain_search(rows, every, k):
     usable = [(i, [int(np.floor(64 * float(x))) for x in v]) for i, v in rows
               if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    asked = {}
-    for i, v in usable:
-        if i % every == 0:
-            asked[i] = min(asked.get(i, v), v)
-    for q, v in asked.items():
-        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != q and len(w) == len(v))
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+    for at, (q, v) in enumerate(usable):
+        if q % every == 0:
+            others = usable[:at] + usable[at + 1 :]
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in others if len(w) == len(v))
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
 
@@ -87,7 +87,13 @@ def test_search_is_brute_force_over_blocks_and_groups(spark):
     pick = np.random.default_rng(3)
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.float32(pick.normal(0, 0.3, (300, 5))))]
     rows[7] = rows[11] = (7, rows[20][1])  # ties and a repeated row
+    rows += [rows[30], rows[30], (40, rows[50][1]), (40, rows[60][1])]  # queries that repeat a row, or an id alone
     assert got_search(spark, rows, every=10, k=6, rows=64, queries=8) == plain_search(rows, 10, 6)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    duck = duckdb.connect()
+    duck.execute("create table embeddings (vec_id bigint, embedding float[])")
+    duck.executemany("insert into embeddings values (?, ?)", rows)
+    assert_same(search.top_inner_products(frame), duck, search.SEARCH_SQL)
 
 
 def test_search_leaves_out_what_cannot_be_compared(spark):
@@ -107,4 +113,12 @@ def test_slices_add_up_to_the_inner_product():
     assert (scores == values @ query).all()
     top = index.top(slices, 10)
     assert set(np.argsort(-scores, kind="stable")[:10]) <= set(top)
-    assert isinstance(next(search.block_search(pd.DataFrame({"vec_id": [1], "v": [values[0]]}), pd.DataFrame({"vec_id": [2], "v": [query]}), 3)), pd.DataFrame)
+    assert isinstance(next(search.block_search(pd.DataFrame({"row": [0], "vec_id": [1], "v": [values[0]]}), pd.DataFrame({"row": [1], "vec_id": [2], "v": [query]}), 3)), pd.DataFrame)
+
+
+def test_signed_digits_add_up_and_are_few():
+    for number in range(-600, 601):
+        digits = list(search._signed_digits(number))
+        assert sum(sign << place for place, sign in digits) == number
+        places = [place for place, _ in digits]
+        assert all(b - a > 1 for a, b in zip(places, places[1:]))
