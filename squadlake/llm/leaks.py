@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squadlake.llm.common import kept, whole
+from squadlake.llm.common import kept, small_side, whole
 from squadlake.llm.trigrams import trigram_query
 
 
@@ -40,32 +40,57 @@ RULES = (
 )
 BASE = 3
 MARK = "[SECRET]"
+#: Matches added up at once.
+RUN = 128
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
 def rule_spans(text: Column, number: int, rule: Rule) -> Column:
     """Start, rule's number and end of each match: lengths of matches and of what lies between, added up."""
     pattern = F.lit(rule.pattern)
-    parts = F.arrays_zip(
-        F.split(text, rule.pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"),
-        F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("value"),
+    matches = F.regexp_extract_all(text, pattern, F.lit(0))
+    values = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else matches
+    # After the last match there is a gap and no match.
+    lengths = F.zip_with(
+        F.split(text, rule.pattern, -1),
+        F.zip_with(matches, values, lambda m, v: F.struct(F.char_length(m).alias("match"), F.char_length(v).alias("value"))),
+        lambda gap, m: F.struct(
+            F.char_length(gap).alias("gap"), m["match"].alias("match"), m["value"].alias("value")
+        ),
     )
-    nothing = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
 
     def add(so_far: Column, part: Column) -> Column:
-        start = so_far["at"] + F.char_length(part["gap"])
-        end = start + F.char_length(part["match"])
+        start = so_far["at"] + part["gap"]
+        end = start + part["match"]
         span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"))
-        # After the last match there is a gap and no match.
         return F.when(
-            F.char_length(part["value"]) >= rule.least,
+            part["value"] >= rule.least,
             F.struct(end.alias("at"), F.concat(so_far["spans"], F.array(span)).alias("spans")),
         ).otherwise(F.struct(F.coalesce(end, so_far["at"]).alias("at"), so_far["spans"].alias("spans")))
 
-    return F.when(F.regexp_like(text, pattern), F.aggregate(parts, nothing, add, lambda s: s["spans"])).otherwise(
-        F.array().cast(SPANS)
-    )
+    def begun(at: Column) -> Column:
+        return F.struct(at.alias("at"), F.array().cast(SPANS).alias("spans"))
+
+    def in_runs(parts: Column) -> Column:
+        """An array that grows is copied at each step, so runs of RUN parts are added up first, and then within each."""
+        runs = _in_runs(parts)
+        sizes = F.transform(
+            runs,
+            lambda run: F.aggregate(run, F.lit(0), lambda n, p: n + p["gap"] + F.coalesce(p["match"], F.lit(0))),
+        )
+        starts = F.aggregate(
+            sizes,
+            F.array(F.lit(0)),
+            lambda so_far, n: F.concat(so_far, F.array(F.element_at(so_far, -1) + n)),
+        )
+        placed = F.zip_with(runs, F.slice(starts, 1, F.size(runs)), lambda run, at: F.struct(run.alias("run"), at.alias("at")))
+        return F.flatten(
+            F.transform(placed, lambda p: F.aggregate(p["run"], begun(p["at"]), add, lambda s: s["spans"]))
+        )
+
+    # A one-element array in between, so that the lengths are made once.
+    spans = F.flatten(F.transform(F.array(lengths), in_runs))
+    return F.when(F.regexp_like(text, pattern), spans).otherwise(F.array().cast(SPANS))
 
 
 def postings(docs: DataFrame, grams: list[str]) -> DataFrame:
@@ -107,8 +132,10 @@ def candidates(index: DataFrame, queries: dict[int, list[frozenset[str]]]) -> Da
     )
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``row`` (the document, all its columns) and ``spans`` (start, rule's number, end), sorted.
+def find_secrets(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, carried: list[str] | None = None
+) -> DataFrame:
+    """``row`` (the document, all its columns or those ``carried``) and ``spans`` (start, rule's number, end), sorted.
 
     Rules with mandatory trigrams are verified on the texts their postings leave, the others
     scan every text. Matches are leftmost and don't overlap within a rule. Positions
@@ -121,11 +148,12 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     text = whole(F.col("text"))
     none = F.array().cast(SPANS)
     scanned = [rule_spans(text, n, rule) for n, rule in enumerate(rules) if n not in indexed]
-    row = F.struct(*docs.columns).alias("row")
+    row = F.struct(*(carried or docs.columns)).alias("row")
     if not indexed:
         return docs.select(row, F.array_sort(F.concat(none, *scanned)).alias("spans"))
     index = kept(postings(docs, grams))
-    found = candidates(index, indexed)
+    # Two numbers for each candidate: where they are few enough to be broadcast, no text moves at all.
+    found = small_side(kept(candidates(index, indexed)))
     # A text without the rarest trigram of any clause can't be a candidate: it needn't move.
     frequency = dict(index.groupBy("gram").count().collect())  # a row for each of the rules' trigrams
     anchors = {min(sorted(c), key=lambda g: frequency.get(g, 0)) for q in indexed.values() for c in q}
@@ -147,22 +175,53 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return joined.select("row", F.array_sort(F.concat(F.col("scanned"), *verified)).alias("spans"))
 
 
+def _in_runs(items: Column) -> Column:
+    """Slices of RUN items."""
+    return F.transform(
+        F.sequence(F.lit(0), F.size(items) - 1, F.lit(RUN)), lambda s: F.slice(items, s + 1, RUN)
+    )
+
+
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with every stretch under spans replaced by one mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("said"))
-
-    def step(so_far: Column, span: Column) -> Column:
-        new = span["start"] >= so_far["at"]
-        gap = F.substring(text, so_far["at"] + 1, span["start"] - so_far["at"])
-        return F.struct(
-            F.greatest(so_far["at"], span["end"]).alias("at"),
-            F.when(new, F.concat(so_far["said"], gap, F.lit(MARK))).otherwise(so_far["said"]).alias("said"),
-        )
+    """The text with every stretch under spans replaced by one mark.
+
+    Spans are worked off in runs, each on its own stretch of the text, so that neither the text nor what
+    was said so far is copied for every span.
+    """
+    runs = _in_runs(spans)
+    lasts = F.transform(runs, lambda run: F.array_max(F.transform(run, lambda s: s["end"])))
+    edges = F.aggregate(
+        lasts,
+        F.array(F.lit(0)),
+        lambda so_far, last: F.concat(so_far, F.array(F.greatest(F.element_at(so_far, -1), last))),
+    )
+    count = F.size(lasts)
+    placed = F.zip_with(runs, F.slice(edges, 1, count), lambda run, a: F.struct(run.alias("run"), a.alias("begin")))
+    placed = F.zip_with(
+        placed,
+        F.slice(edges, 2, count),
+        lambda p, b: F.struct(
+            p["run"].alias("run"),
+            p["begin"].alias("begin"),
+            F.substring(text, p["begin"] + 1, b - p["begin"]).alias("stretch"),
+        ),
+    )
+
+    def said(p: Column) -> Column:
+        def step(so_far: Column, span: Column) -> Column:
+            gap = F.substring(p["stretch"], so_far["at"] - p["begin"] + 1, span["start"] - so_far["at"])
+            return F.struct(
+                F.greatest(so_far["at"], span["end"]).alias("at"),
+                F.when(span["start"] >= so_far["at"], F.concat(so_far["said"], gap, F.lit(MARK)))
+                .otherwise(so_far["said"])
+                .alias("said"),
+            )
 
-    def end(so_far: Column) -> Column:
-        return F.concat(so_far["said"], F.substring(text, so_far["at"] + 1, F.char_length(text)))
+        start = F.struct(p["begin"].alias("at"), F.lit("").alias("said"))
+        return F.aggregate(p["run"], start, step, lambda s: s["said"])
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, end)).otherwise(text)
+    rest = F.substring(text, F.element_at(edges, -1) + 1, F.char_length(text))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(F.transform(placed, said), ""), rest)).otherwise(text)
 
 
 def without_secrets(docs: DataFrame) -> DataFrame:
@@ -192,7 +251,7 @@ def _shown(spans: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def secrets_digest(docs: DataFrame) -> DataFrame:
-    found = find_secrets(docs.select("doc_id", "text"))
+    found = find_secrets(docs, carried=["doc_id"])
     spans = F.col("spans")
 
     def count(kind: int) -> Column:
