@@ -135,13 +135,13 @@ def id_width(ids: int) -> int:
     return 2 if ids <= 1 << 16 else 4
 
 
-def _place(uri: str) -> tuple[pa.fs.FileSystem, str]:
+def place(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(uri)
 
 
-def _mapped(uri: str, dtype: str) -> Callable[[int, int], np.ndarray]:
+def mapped(uri: str, dtype: str) -> Callable[[int, int], np.ndarray]:
     """Entries of a file by position: a memory map where the file system has one, ranged reads elsewhere."""
-    system, path = _place(uri)
+    system, path = place(uri)
     file = pa.memory_map(path) if isinstance(system, pa.fs.LocalFileSystem) else system.open_input_file(path)
     size = np.dtype(dtype).itemsize
 
@@ -177,7 +177,7 @@ def write_token_files(
     stored = f"<u{width}"
 
     def write_part(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = _place(folder)
+        system, root = place(folder)
         name, lengths, doc_ids, nulls, out = uuid.uuid4().hex, [], [], 0, None
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
@@ -204,10 +204,10 @@ def write_token_files(
         )
 
     def write_offsets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = _place(folder)
+        system, root = place(folder)
         for batch in batches:
             for row in batch.to_pylist():
-                lengths = _mapped(f"{folder}/{row['name']}.lengths", "<u8")(0, row["documents"])
+                lengths = mapped(f"{folder}/{row['name']}.lengths", "<u8")(0, row["documents"])
                 offsets = row["base"] + np.append(0, np.cumsum(lengths, dtype=np.uint64))
                 with system.open_output_stream(f"{root}/{row['name']}.offsets") as file:
                     file.write(offsets.astype("<u8").tobytes())
@@ -243,8 +243,8 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True) ->
     def read_part(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (row for batch in batches for row in batch.to_pylist()):
             place = f"{folder}/{row['name']}"
-            ids, offsets = _mapped(f"{place}.ids", f"<u{row['width']}"), _mapped(f"{place}.offsets", "<u8")
-            doc_ids, first = _mapped(f"{place}.docs", "<i8"), 0
+            ids, offsets = mapped(f"{place}.ids", f"<u{row['width']}"), mapped(f"{place}.offsets", "<u8")
+            doc_ids, first = mapped(f"{place}.docs", "<i8"), 0
             while first < row["documents"]:
                 # As many documents as fit, one at least.
                 ahead = offsets(first, min(first + 4_096, row["documents"]) + 1).astype(np.int64)

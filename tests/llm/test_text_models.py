@@ -1,10 +1,13 @@
 """Held-out accuracy of the trained models, repeated passages against brute force, and odd tables."""
 
+import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline
 from squadlake.llm import quality, suffixes, toxicity
@@ -49,41 +52,116 @@ def test_quality_on_held_out_labels(spark):
     assert np.mean([r.kept for r in judged if r.quality == 0]) < 0.4
 
 
+def plain_grams(text):
+    raw = text.encode("utf-16-le")
+    units = [0] * (quality.ORDER - 1) + [int.from_bytes(raw[i : i + 2], "little") for i in range(0, len(raw), 2)]
+    return [tuple(units[i : i + quality.ORDER]) for i in range(len(units) - quality.ORDER + 1)]
+
+
 def plain_model(texts):
     """Interpolated modified Kneser-Ney by the book: the probability of a gram's last symbol."""
-    counts = [None] * (quality.ORDER + 1)
-    counts[quality.ORDER] = Counter(int(k) for t in texts for k in quality.n_grams(t))
+    counts = {quality.ORDER: Counter(g for t in texts for g in plain_grams(t))}
     for n in range(quality.ORDER - 1, 0, -1):
-        counts[n] = Counter(k % quality.CLASSES**n for k in counts[n + 1])
-
-    def discount(n, c):
-        have = Counter(counts[n].values())
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    totals, left = {}, {}
+    for n, of_order in counts.items():
+        have = Counter(of_order.values())
         a, b, d, e = (max(1, have[i]) for i in (1, 2, 3, 4))
         y = a / (a + 2 * b)
-        found = (1 - 2 * y * b / a, 2 - 3 * y * d / b, 3 - 4 * y * e / d)[min(c, 3) - 1]
-        return min(max(found, 0.1), (1.0, 2.0, 3.0)[min(c, 3) - 1])
-
-    def p(n, key):
-        if n == 0:
-            return 1 / quality.CLASSES
-        context = [(k, c) for k, c in counts[n].items() if k // quality.CLASSES == key // quality.CLASSES]
-        lower = p(n - 1, key % quality.CLASSES ** (n - 1))
-        if not context:
-            return lower
-        total = sum(c for _, c in context)
-        left = sum(discount(n, c) for _, c in context) / total
-        own = counts[n].get(key, 0)
-        return (max(own - discount(n, own), 0) / total if own else 0) + left * lower
-
-    return lambda key: p(quality.ORDER, key)
-
-
-def test_model_is_kneser_ney(documents):
-    texts = ["the cat sat. The dog,", "a cat 12 and a dog", "zebra crossing!", "the the the"]
-    model, plain = quality.train(documents(texts)), plain_model(texts)
-    for key in [int(k) for k in quality.n_grams("the dot. Quiz 3 cats")]:
-        assert model.log_p[key] == pytest.approx(np.log(plain(key)), abs=1e-4)
-    assert np.exp(model.log_p).reshape(-1, quality.CLASSES).sum(axis=1) == pytest.approx(1, abs=1e-3)
+        found = (1 - 2 * y * b / a, 2 - 3 * y * d / b, 3 - 4 * y * e / d)
+        off = [min(max(x, 0.1), most) for x, most in zip(found, (1.0, 2.0, 3.0))]
+        for g, c in of_order.items():
+            totals[g[:-1]] = totals.get(g[:-1], 0) + c
+            left[g[:-1]] = left.get(g[:-1], 0) + off[min(c, 3) - 1]
+        counts[n] = {g: max(c - off[min(c, 3) - 1], 0) for g, c in of_order.items()}
+
+    def p(g):
+        if not g:
+            return 1 / 65_536
+        context = g[:-1]
+        if context not in totals:
+            return p(g[1:])
+        return (counts[len(g)].get(g, 0) + left[context] * p(g[1:])) / totals[context]
+
+    return p
+
+
+def plain_log_perplexity(p, text):
+    grams = plain_grams(text)
+    return -sum(math.log(p(g)) for g in grams) / len(grams)
+
+
+def plain_limits(logs):
+    """(low, high) from log-perplexities, by the counts in steps that the operator reads them from."""
+    steps, margin = sorted(math.floor(x / quality.STEP) for x in logs), quality.UNSURE / math.sqrt(len(logs))
+    upto = {s: sum(t <= s for t in steps) for s in steps}
+    low = min(s for s in steps if upto[s] > quality.LOWEST * len(steps))
+    high = min(s for s in steps if upto[s] >= quality.PASSING * len(steps))
+    return low * quality.STEP - margin, (high + 1) * quality.STEP + margin
+
+
+def test_model_is_kneser_ney(spark, documents, monkeypatch):
+    monkeypatch.setattr(quality, "TOGETHER", 50)
+    texts = ["the cat sat. The dog,", "a cat 12 and a dog", "zebra crossing!", "the the the", "Ünï 漢字 🙂 \uffff 🙃", "", None] * 2
+    texts += [f"word {i} of many" for i in range(40)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        model = quality.train(documents(texts))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(model.seen[-1].shards) > 2
+    plain = plain_model([t or "" for t in texts])
+    for text in ("the dot. Quiz 3 cats", "漢 🙂🙃 zzz \uffff", "many words of the " * 9):
+        for key, gram in zip(model.log_p(quality.n_grams(quality.units_of(text))), plain_grams(text)):
+            assert key == pytest.approx(math.log(plain(gram)), abs=1e-9)
+    for context in ("the", " a ", "漢字 ", "qqq"):
+        units = quality.units_of(context)[-3:]
+        keys = (units[0] << 32 | units[1] << 16 | units[2]) << 16 | np.arange(65_536)
+        assert np.exp(model.log_p(keys)).sum() == pytest.approx(1, abs=1e-9)
+
+
+def test_long_texts_are_scored_in_pieces(documents, monkeypatch):
+    texts = ["abcdefgh " * 300, "x", "", None, "one two three"]
+    model = quality.train(documents(texts))
+    whole = [r.p for r in quality.with_perplexity(documents(texts), model, "p").collect()]
+    monkeypatch.setattr(quality, "TOGETHER", 7)
+    assert [r.p for r in quality.with_perplexity(documents(texts), model, "p").collect()] == pytest.approx(whole, nan_ok=True)
+    assert whole[2] is whole[3] is None
+
+
+def apart(doc_id):
+    """Whether a trusted document sets limits: xxHash64 of the id's eight bytes, seed 42, as a signed long."""
+    return xxhash.xxh64_intdigest(doc_id.to_bytes(8, "little"), 42) % quality.SET_APART == 0
+
+
+def test_limits_and_flags_are_those_of_plain_python(spark, documents):
+    pick = random.Random(8)
+    words = {"en": ["the", "cat", "sat", "on", "mat", "dog"], "de": ["der", "Hund", "und", "die", "Katze"], "xx": ["ky", "zo"]}
+    texts, langs = [], []
+    for i in range(260):
+        lang = pick.choice(["en"] * 5 + ["de"] * 3 + ["xx", None])
+        said = [pick.choice(words[lang or "en"]) for _ in range(pick.randint(3, 25))]
+        if i % 9 == 0:
+            said = ["".join(pick.choices("qxzjwv#@", k=6)) for _ in said]
+        elif i % 13 == 0:
+            said = [said[0]] * 60
+        texts.append(" ".join(said) + ".")
+        langs.append(lang)
+    quality_of = {i: int(i % 9 != 0 and i % 13 != 0 and langs[i] != "xx") for i in range(260) if i % 5}
+    labels = spark.createDataFrame([(i, q, 0) for i, q in quality_of.items()], "doc_id long, quality int, toxic int")
+    trusted = [i for i, q in quality_of.items() if q and zlib.crc32(str(i).encode()) % 3 != 1]
+    model = plain_model([texts[i] for i in trusted if not apart(i)])
+    logs = [plain_log_perplexity(model, t) for t in texts]
+    setting = [i for i in trusted if apart(i)]
+    own = {lang: plain_limits([logs[i] for i in setting if (langs[i] or "") == lang]) for lang in {langs[i] or "" for i in setting}}
+    everywhere = plain_limits([logs[i] for i in setting])
+    expected = []
+    for i, log in enumerate(logs):
+        low, high = own.get(langs[i] or "", everywhere)
+        expected.append(low <= log <= high)
+    rows = sorted(quality.quality_digest(documents(texts, langs=langs), labels).collect())
+    assert [r.perplexity for r in rows] == pytest.approx([math.exp(x) for x in logs])
+    assert [r.kept for r in rows] == expected and 0 < sum(expected) < 260
 
 
 def test_quality_of_odd_documents(spark, odd, empty):
