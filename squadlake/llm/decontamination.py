@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squadlake.llm.common import ascii_lower, kept, whole
+from squadlake.llm.common import ascii_lower, kept, small_side, whole
 
 WINDOW = 13
 #: Digits, lower-case letters and everything that isn't ASCII.
@@ -135,9 +135,19 @@ def mark_contaminated(
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that aren't contaminated, all their columns as they were."""
-    marked = mark_contaminated(docs, items, window)
-    return marked.where(~F.col("contamination.contaminated")).select("row.*")
+    """The documents that aren't contaminated, all their columns as they were.
+
+    Only ids and hashes of texts are marked and compared; where the contaminated are few enough to be
+    broadcast, no text moves.
+    """
+    named = docs.select(F.col("doc_id"), F.col("text"), F.xxhash64(whole(F.col("text"))).alias("text_hash"))
+    marked = mark_contaminated(named, items, window, carried=["doc_id", "text_hash"])
+    bad = marked.where(F.col("contamination.contaminated")).select(
+        F.col("row.doc_id").alias("_bad_id"), F.col("row.text_hash").alias("_bad_hash")
+    )
+    bad = small_side(kept(bad.distinct()))
+    same = docs["doc_id"].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(whole(docs["text"])) == bad["_bad_hash"])
+    return docs.join(bad, same, "left_anti")
 
 
 def decontamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squadlake.llm.common import LOWER, UPPER, findable, kept, whole
+from squadlake.llm.common import LOWER, UPPER, findable, kept, small_side, whole
 from squadlake.llm.components import components
 
 SHINGLE = 3
@@ -243,7 +243,8 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, radius: int = DISTANCE) ->
     again = (
         marked.groupBy("root", "doc_id", "text_hash").count().where(F.col("count") > 1).select("doc_id", "text_hash")
     )
-    rest = _where(docs, dropped, "left_anti")
+    # An id and a hash of each: few enough to be broadcast, no text moves for them.
+    rest = _where(docs, small_side(kept(dropped)), "left_anti")
     if again.isEmpty():
         return rest
     again = kept(again)
