@@ -1,7 +1,9 @@
 """Held-out accuracy of the trained models, repeated passages against brute force, and odd tables."""
 
+import itertools
 import math
 import random
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -18,24 +20,107 @@ SF_DIR = "/root/testdata/sf0.01"
 
 
 def test_toxicity_on_held_out_labels(spark):
-    labels = table(spark, SF_DIR, "labels")
-    scored = QUERIES["op4_toxicity"](spark, SF_DIR).join(labels, "doc_id").where("held_out").collect()
+    large = "/root/testdata/sf0.1"
+    labels = table(spark, large, "labels")
+    scored = QUERIES["op4_toxicity"](spark, large).join(labels, "doc_id").where("held_out").collect()
     clean = [r.predicted for r in scored if r.toxic == 0]
     toxic = [r.predicted for r in scored if r.toxic == 1 and r.quality == 1]
-    assert np.mean(clean) < 0.05 and np.mean(toxic) > 0.6
+    assert np.mean(clean) < 0.02 and np.mean(toxic) > 0.85
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in scored)
 
 
-def test_kernel_forgives_inserted_characters():
-    known, other = toxicity.features(["worthless"]), toxicity.features(["worxthless", "waterfalls", "theandoner"])
-    near, far, none = (other @ known.T)[:, 0]
-    assert near > 2 * far and near > 5 * none and toxicity.letters("W-o.r*t7h") == "worth"
-
-
-def test_windows_and_whole_segments_have_one_margin():
-    model = toxicity.Model(toxicity.features(["idiot"])[0], -0.5, np.array([0.0, 1.0, 0.0]))
-    margins = model.margins(["idiot", "x" * 100 + "idiot" + "y" * 100, "", "zzz"])
-    assert margins[0] > 0.4 and margins[1] > margins[3] and len(margins) == 4
+def plain_sentences(text):
+    text = unicodedata.normalize("NFC", text.lower())
+    stops = "\n\r\v\f\x85\u2028\u2029。！？"
+    text = "".join("\n" if c in stops or i and c.isspace() and text[i - 1] in ".!?…" else c for i, c in enumerate(text))
+    out = []
+    for line in text.split("\n"):
+        words = "".join(c for c in line if c.isalpha() or c.isspace()).split()
+        joined = [w if i == 0 or len(w) > 1 or len(words[i - 1]) > 1 else "\0" + w for i, w in enumerate(words)]
+        if words:
+            out.append(" ".join(joined).replace(" \0", ""))
+    return out
+
+
+def test_sentences_are_plain_python(documents):
+    pick = random.Random(3)
+    pieces = ["a", "B", "word", "İd", "e\u0301t", "x-y", "...", ".", "! ", "?", " ", "  ", "\t", "\n", "\u2028", "。", "漢字", "4", "\ud800", ""]
+    texts = ["", " ", ".", "\n\n", "i d i o t"] + ["".join(pick.choice(pieces) for _ in range(pick.randrange(40))) for _ in range(400)]
+    symbols, begins, owner = toxicity.coded(texts)
+    ends = [*begins[1:], len(symbols)]
+    got = [(int(n), "".join(chr(c) if c else " " for c in symbols[a:b]).rstrip(" ")) for n, a, b in zip(owner, begins, ends)]
+    assert got == [(n, sentence) for n, text in enumerate(texts) for sentence in plain_sentences(text)]
+    edge = toxicity.WINDOW - 1
+    assert all(not symbols[a - edge : a].any() for a in begins) and not symbols[-edge:].any() and begins[0] == edge
+
+
+def plain_kernel(one, two):
+    """Sum over shared subsequences of four symbols, with gaps, of both weights."""
+
+    def weights(window):
+        out = Counter()
+        for first in range(toxicity.ANCHORS):
+            for rest in itertools.combinations(range(first + 1, first + toxicity.SPAN), 3):
+                found = tuple(window[i] for i in (first, *rest))
+                if any(found):
+                    out[found] += toxicity.DECAY ** (rest[-1] - first + 1) / toxicity.NORM
+        return out
+
+    mine, others = weights(one), weights(two)
+    return sum(w * others[s] for s, w in mine.items())
+
+
+def windows_of(*texts):
+    rows = [[ord(c) if c != " " else 0 for c in t.ljust(toxicity.WINDOW)[: toxicity.WINDOW]] for t in texts]
+    return np.array(rows, np.uint32)
+
+
+def test_kernel_is_brute_force_and_forgives_inserted_characters():
+    windows = windows_of("n worthless dop", "e worxthless ka", "s wor thless im", "n waterfalls so", "a" * 20, "", "été à la mer")
+    kernel = toxicity.Landmarks.of(windows).kernel(windows)
+    assert kernel == pytest.approx(np.array([[plain_kernel(a, b) for b in windows] for a in windows]), rel=1e-4, abs=1e-5)
+    same, near, split, far = kernel[:4, 0]
+    assert min(near, split) > 0.3 * same and min(near, split) > 4 * far
+
+
+def test_margins_are_those_of_the_worst_window(monkeypatch):
+    pick = np.random.default_rng(1)
+    model = toxicity.Model(pick.normal(size=1 << toxicity.BITS).astype(np.float32), -0.5, np.array([0.0, 1.0]))
+    texts = ["idiot", "x" * 100 + " an idiot. Not so! " + "y" * 100, "", "zzz", "ab cd " * 3_000 + "moron" + " ef gh" * 3_000]
+    margins = model.margins(texts)
+    for text, margin in zip(texts, margins):
+        of = []
+        for sentence in plain_sentences(text):
+            padded = " " * (toxicity.WINDOW - 1) + sentence + " " * toxicity.WINDOW
+            of.append(model.of_windows(windows_of(*{padded[i : i + toxicity.WINDOW] for i in range(len(padded) - toxicity.WINDOW)})).max())
+        assert margin == pytest.approx(max(of, default=toxicity.NOTHING), abs=1e-3)
+    monkeypatch.setattr(toxicity, "PART", 2_000)
+    assert all(model.margins(texts) > margins - 1e-3)  # no window is missed; a part's end is read as a sentence's
+
+
+def test_one_insult_is_enough(spark, documents):
+    """Of each toxic document one sentence holds one insult; nobody says which."""
+    pick = random.Random(8)
+    syllables = ["an", "er", "tho", "li", "on", "re", "st", "ka", "mi", "do", "pe", "lu"]
+    word = lambda: "".join(pick.choice(syllables) for _ in range(pick.randint(1, 4)))
+    insults = ["blockhead", "nitwit", "buffoon"]
+    texts, toxic = [], []
+    for n in range(900):
+        words = [word() + pick.choice(["", "", "", ".", ","]) for _ in range(pick.randint(5, 120))]
+        toxic.append(int(n % 4 == 0))
+        if toxic[-1]:
+            words.insert(pick.randrange(len(words)), pick.choice(insults))
+        texts.append(" ".join(words))
+    labels = spark.createDataFrame([(n, 1, t) for n, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    docs = documents(texts)
+    rows = toxicity.toxicity_digest(docs, labels).where("held_out").collect()
+    assert np.mean([r.predicted for r in rows if toxic[r.doc_id]]) > 0.9
+    assert np.mean([r.predicted for r in rows if not toxic[r.doc_id]]) < 0.04
+    model = toxicity.train(docs, labels)
+    forms = ["{0}", "{0}!!", "{1}-{2}", "{1}*{2}", "{1}{2}S", "{1} {2}", "{1}x{2}"]
+    sentences = [f.format(w, w[:3], w[3:]) for f in forms for w in insults] + [" ".join(w) for w in insults]
+    scores = model.score(model.margins([f"tholi anre {s} dope lu kami" for s in sentences]))
+    assert np.mean(scores >= 0.7) > 0.85 and model.score(model.margins(["tholi anre dope lu kami", ""])).max() < 0.7
 
 
 def test_toxicity_of_odd_documents(spark, odd, empty):
