@@ -37,6 +37,8 @@ SHOWN = (4, 6)
 LANDMARKS = 512
 #: Shrinkage of the machine, for each unit of weight.
 RIDGE = 1e-4
+#: Windows the fit computes with at once.
+BLOCK = 2048
 #: Characters a task holds in its arrays at once; longer texts are read in parts, each from OVERLAP before, and a
 #: part's ends are read as those of sentences.
 PART, OVERLAP = 1 << 20, 1_000
@@ -225,15 +227,21 @@ def fit_machine(windows: np.ndarray, label: np.ndarray, weight: np.ndarray, land
     good = values > max(1e-4 * values.max(), 1e-9)
     root = vectors[:, good] / np.sqrt(values[good])
     root = root.astype(np.float32)
-    parts = [marks.kernel(windows[i : i + 2048]) @ root for i in range(0, len(windows), 2048)]
-    x = np.hstack([np.concatenate(parts), np.ones((len(windows), 1), np.float32)])
+    x = np.ones((len(windows), root.shape[1] + 1), np.float32)
+    blocks = [slice(i, i + BLOCK) for i in range(0, len(windows), BLOCK)]
+    for block in blocks:
+        x[block, :-1] = marks.kernel(windows[block]) @ root
     y, w = np.where(label, 1.0, -1.0), np.zeros(x.shape[1])
     ridge = np.eye(x.shape[1]) * RIDGE * weight.sum()
     ridge[-1, -1] = 1e-6
     for _ in range(30):
-        inside = y * (x @ w) < 1
-        active, c = x[inside], weight[inside].astype(np.float32)
-        step = np.linalg.solve(active.T @ (active * c[:, None]) + ridge, active.T @ (c * y[inside]))
+        squares, sums = ridge.copy(), np.zeros(len(w))
+        for block in blocks:
+            inside = y[block] * (x[block] @ w) < 1
+            active, c = x[block][inside], weight[block][inside].astype(np.float32)
+            squares += active.T @ (active * c[:, None])
+            sums += active.T @ (c * y[block][inside])
+        step = np.linalg.solve(squares, sums)
         if np.allclose(step, w, atol=1e-6):
             break
         w = step
