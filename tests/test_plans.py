@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from checks import REGISTRY
+from checks.lake import squads
 from checks.views import fact
 from squadlake import operators as ops
 from squadlake import sources
@@ -199,3 +200,10 @@ def test_a_player_is_looked_up_in_few_row_groups(spark, tmp_path):
             scan = scan.children().head()
         read[name] = scan.metrics().apply("numOutputRows").value()
     assert read["bloom"] < 2_000 and read["bloom"] * 4 < read["plain"]
+
+
+def test_players_of_a_squad_are_made_behind_the_shuffle(spark):
+    text = plan(squads(spark, SF_DIR))
+    assert text.count("Exchange hashpartitioning") == 1
+    # Written from the last step to the first: narrow rows are dealt out, then collected where they arrive.
+    assert text.index("partial_collect_list") < text.index("Exchange hashpartitioning")
