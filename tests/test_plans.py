@@ -207,3 +207,10 @@ def test_players_of_a_squad_are_made_behind_the_shuffle(spark):
     assert text.count("Exchange hashpartitioning") == 1
     # Written from the last step to the first: narrow rows are dealt out, then collected where they arrive.
     assert text.index("partial_collect_list") < text.index("Exchange hashpartitioning")
+
+
+def test_costly_texts_of_a_player_are_made_once(spark):
+    flat = spark.createDataFrame([], schemas.PLAYER_FLAT)
+    text = plan(clean_players(flat))
+    assert text.count("regexp_replace(team") == 1
+    assert "lower(players_marketValue" not in text

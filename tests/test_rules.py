@@ -232,3 +232,22 @@ def test_rules_use_no_python_worker(spark):
         rule.normalize_team_name("t"),
     )._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_marks_of_any_case_scale_a_market_value(spark):
+    texts = ["€1.5K", "€1.5k", "1.5\u212a", "€2M", "2m", "2Mk", "1E3", "\u2003€7k\u00a0"]
+    found = spark.createDataFrame([(t,) for t in texts], "v string").select(
+        "v", rule.parse_market_value("v").alias("m")
+    )
+    assert {row["v"]: row["m"] for row in found.collect()} == dict(
+        zip(texts, [1500, 1500, 1500, 2_000_000, 2_000_000, 2000, 1000, 7000])
+    )
+
+
+def test_team_names_of_nothing_but_the_suffix_stay(spark):
+    names = spark.createDataFrame([(n,) for n in ["FC", "_FC_", "FC_X", "", None]], "raw string")
+    for mode in ("token", "substring"):
+        found = names.select("raw", rule.normalize_team_name("raw", mode).alias("name")).collect()
+        assert {row["raw"]: row["name"] for row in found} == {
+            "FC": "FC", "_FC_": "_FC_", "FC_X": "X", "": "", None: None
+        }
